@@ -9,30 +9,9 @@ from ..functions.semantics import floor_days, sum0
 from ..functions.text import any_keyword
 from ..operators import sales as S
 from . import views as V
+from .registry import Registry, r
 from .views import with_views as sql
 
-QUERIES, SQL = {}, {}
-
-
-def query(name, body=None):
-    def register(fn):
-        QUERIES[name] = fn
-        if body:
-            SQL[name] = sql(body, EXTRA)
-        return fn
-    return register
-
-
-# averages of money can end exactly on half a unit; a fixed nudge below it makes both engines round alike
-NUDGE = 3.3e-7
-
-
-def r(df, nudge=(), **digits):
-    """Round the named columns for a stable comparison."""
-    return df.select(*[F.round(F.col(c) + (NUDGE if c in nudge else 0.0), digits[c]).alias(c) if c in digits else F.col(c)
-                       for c in df.columns])
-
-
 DAYS = "floor(date_diff('microsecond', {a}, {b}) / 86400000000.0)::BIGINT"
 EXTRA = {
     "w_orders": f"""SELECT *, strftime(purchased_at,'%Y-%m') AS purchase_month,
@@ -95,6 +74,9 @@ EXTRA = {
         UNION ALL SELECT 'total_products', count(DISTINCT product_id)::DOUBLE FROM v_products""",
 }
 
+reg = Registry(EXTRA)
+QUERIES, SQL, query = reg.queries, reg.sql, reg.query
+
 
 def master(s, d):
     return S.master(V.orders(s, d), V.items(s, d), V.products(s, d), V.sellers(s, d), V.customers(s, d))

@@ -247,17 +247,20 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     """Prefix a query with the views it names, in dependency order."""
     defs = {**VIEW_SQL, **(extra or {})}
     ordered: list[str] = []
+    seen: set[str] = set()
 
     def visit(text: str) -> None:
         for name in re.findall(r"\b[vw]_[a-z0-9_]+\b", text):
-            if name in defs and name not in ordered:
+            if name in defs and name not in seen:
+                seen.add(name)
                 visit(defs[name])
-                if name not in ordered:
-                    ordered.append(name)
+                ordered.append(name)
 
     visit(body)
     if not ordered:
         return body
     ctes = ",\n".join(f"{n} AS ({defs[n]})" for n in ordered)
     body = body.strip()
+    if any("RECURSIVE" in defs[n] for n in ordered):
+        ctes = "RECURSIVE " + ctes.replace("/*RECURSIVE*/", "")
     return f"WITH {ctes}" + (",\n" + body[5:] if body[:5].upper() == "WITH " else "\n" + body)
