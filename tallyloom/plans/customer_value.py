@@ -154,7 +154,7 @@ def _(s, d):
     return r(clv.correlation(C.repeat_buyers(summary(s, d))), correlation=6)
 
 
-@query("a20_implied_gap", f"""SELECT round({clv.implied_mean_spend(SPEND)!r},6) AS implied_mean, round(avg(monetary_value),5) AS observed_mean,
+@query("a20_implied_gap", f"""SELECT round({clv.implied_mean_spend(SPEND)!r}::DOUBLE,6) AS implied_mean, round(avg(monetary_value),5) AS observed_mean,
     round(abs({clv.implied_mean_spend(SPEND)!r}-avg(monetary_value))/avg(monetary_value)*100,6) AS gap_pct,
     CASE WHEN abs({clv.implied_mean_spend(SPEND)!r}-avg(monetary_value))/avg(monetary_value)*100<15 THEN 'ACCEPTABLE' ELSE 'WARNING' END AS status
     FROM w_rfm WHERE frequency>0 AND monetary_value>0""")
