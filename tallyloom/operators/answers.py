@@ -25,7 +25,7 @@ def parse_citations(answers: DataFrame, retrieved: DataFrame, id_col: str = "id"
     """(answers without the SOURCES line, cards of the cited chunks). Numbers outside the list are ignored, repeats keep the first."""
     pattern = r"(?i)SOURCES\s*:\s*([\[\d\],\s]+)"
     hit = F.regexp_extract(text, pattern, 0)
-    clean = answers.withColumn("clean_answer", F.when(F.length(hit) > 0, F.regexp_replace(F.substring_index(F.col(text), hit, 1), r"\s+$", "")).otherwise(F.col(text)))
+    clean = answers.withColumn("clean_answer", F.when(F.length(hit) > 0, F.regexp_replace(F.left(F.col(text), F.instr(F.col(text), hit) - 1), r"\s+$", "")).otherwise(F.col(text)))
     numbers = F.regexp_extract_all(F.regexp_extract(text, pattern, 1), F.lit(r"\d+"), 0)
     cited = answers.select(id_col, F.posexplode(F.array_distinct(F.transform(numbers, lambda n: n.cast("int")))).alias("_pos", "rank"))
     cards = cited.join(retrieved, [id_col, "rank"])
@@ -110,7 +110,7 @@ def quality_report(scored: DataFrame, simple: Column) -> DataFrame:
 
 
 def grades_by_route(graded: DataFrame) -> DataFrame:
-    return graded.groupBy("query_type").pivot("grade", ["PASS", "PARTIAL", "FAIL"]).agg(F.count("*")).na.fill(0)
+    return graded.groupBy("query_type").pivot("grade", ["PASS", "PARTIAL", "FAIL"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def worst_answers(scored: DataFrame, n: int = 3) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import BGNBD, GAMMA_GAMMA
-from ..functions.semantics import ratio
+from ..functions.special import gamma_quantile
 from ..operators import cleaning as C, clv, quality as Q, rfm
 from ..operators.ordered import top_share
 from . import views as V
@@ -283,6 +283,20 @@ def _(s, d):
                                 F.round(F.coalesce(own, F.lit(0.0)) / clv.purchase_rate(MODEL)[0], 6).alias("times_population"))
 
 
+@query("f15_variation", """SELECT round(stddev_pop(frequency)/avg(frequency),6) AS observed_cv, round(1/sqrt(0.243::DOUBLE),6) AS model_cv FROM w_rfm""")
+def _(s, d):
+    return summary(s, d).agg(F.round(F.stddev_pop("frequency") / F.avg("frequency"), 6).alias("observed_cv"), F.round(F.lit(clv.variation(MODEL["r"])), 6).alias("model_cv"))
+
+
+HEAVY = gamma_quantile(0.9, MODEL["r"], 1 / MODEL["alpha"])
+
+
+@query("f17_heavy_buyers", f"""SELECT count(*) FILTER (frequency/nullif(T,0)*7>{HEAVY!r}) AS above, count(*) AS customers, round({HEAVY!r}::DOUBLE,8) AS rate_p90 FROM w_rfm""")
+def _(s, d):
+    own = F.col("frequency") / F.nullif(F.col("T"), F.lit(0.0)) * 7
+    return summary(s, d).agg(F.count_if(own > HEAVY).alias("above"), F.count("*").alias("customers"), F.round(F.lit(HEAVY), 8).alias("rate_p90"))
+
+
 @query("c10_validation_report", f"SELECT {rounded('customer_id tier rfm_grade predicted_purchases_90d:6 expected_avg_spend:3 cltv_90d:4 confidence_flag at_risk verdict')} FROM w_report")
 def _(s, d):
     return r(clv.validation_report(scored(s, d)), predicted_purchases_90d=6, expected_avg_spend=3, cltv_90d=4)
