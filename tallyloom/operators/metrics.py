@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.semantics import count_true
-from .ordered import running_totals, with_bucket
+from .ordered import running_totals
 
 METRICS = ("roc_auc", "avg_precision", "precision", "recall", "f1", "f2", "accuracy")
 
@@ -20,11 +20,14 @@ def score_units(score: Column) -> Column:
 
 
 def score_groups(scored: DataFrame, by: list[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score, with running totals from the highest score down."""
+    """Positives and negatives per distinct score, with running totals from the highest score down.
+
+    The scale has 10,001 values, so hundredths of the scale are ready-made, evenly sized buckets.
+    """
     by = list(by)
     g = scored.groupBy(*by, "score_e4").agg(count_true(F.col("label") == 1).alias("pos"), count_true(F.col("label") == 0).alias("neg"))
-    g = with_bucket(g.withColumn("_neg", -F.col("score_e4")), "_neg")
-    return running_totals(g, [F.col("_neg")], {"tp": "pos", "fp": "neg"}, by).drop("_neg")
+    g = g.withColumn("_bucket", -F.floor(F.col("score_e4") / 100))
+    return running_totals(g, [F.col("score_e4").desc()], {"tp": "pos", "fp": "neg"}, by)
 
 
 def f_beta(tp: Column, fp: Column, fn: Column, beta: float) -> Column:

@@ -16,7 +16,7 @@ BLOCK_ROWS = 20_000
 
 
 def _matrix(pdf: pd.DataFrame, vec: str) -> np.ndarray:
-    return np.array(pdf[vec].tolist(), dtype=float)
+    return np.stack(pdf[vec].to_numpy()).astype(float)
 
 
 def _similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def _pairs(queries, corpus, qid_col, id_col, vec, out_id, k, digits, score, skip
     left = queries.select(F.col(qid_col).alias("_q"), F.col(vec).alias("_v"), F.pmod(F.xxhash64(qid_col), F.lit(np_)).alias("_p"),
                           F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_b"))
     right = corpus.select(F.col(id_col).alias("_i"), F.col(vec).alias("_v"), F.pmod(F.xxhash64(id_col), F.lit(nb)).cast("int").alias("_b"),
-                          F.explode(F.sequence(F.lit(0), F.lit(np_ - 1))).cast("bigint").alias("_p"))
+                          F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(np_ - 1).cast("bigint"))).alias("_p"))
 
     def cell(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if not len(lp) or not len(rp):

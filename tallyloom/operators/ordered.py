@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.semantics import order_hash
 
 HASH_MODULUS = 1_000_003
+MAX_CUTS = 2_000  # keeps the quantile sketch and the cut list small
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -21,7 +22,7 @@ def bucket_count(df: DataFrame) -> int:
 
 def with_bucket(df: DataFrame, col: str, name: str = "_bucket") -> DataFrame:
     """Ordered bucket number of a numeric column, from approximate quantiles of that column."""
-    n = bucket_count(df)
+    n = min(bucket_count(df), MAX_CUTS)
     cuts = df.approxQuantile(col, [i / n for i in range(1, n)], 0.5 / n)
     cuts = sorted({float(c) for c in cuts})
     if not cuts:

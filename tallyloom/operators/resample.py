@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.semantics import count_true, order_hash
+from ..session import materialize
 from .nearest import k_neighbours
 from .ordered import dense_index
 
@@ -25,7 +26,8 @@ def oversample(train: DataFrame, id_col: str, columns: list[str], label: str = "
     if n_min < 2 or n_new == 0:
         return base.select(id_col, *columns, label, "synthetic")
     k = min(k, n_min - 1)
-    minority = train.filter(F.col(label) == 1).select(id_col, *columns)
+    # the rare rows are read several times below; writing them once keeps the lineage of ``train`` out of it
+    minority = materialize(train.filter(F.col(label) == 1).select(id_col, *columns), "minority")
     indexed = dense_index(minority, id_col, name="_idx")
     near = neighbours(minority, id_col, columns, k)
     s = train.sparkSession.range(n_new).select(

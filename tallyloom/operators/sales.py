@@ -190,19 +190,20 @@ def theme_counts(reviews: DataFrame, themes: dict[str, list[str]] | None = None)
 def kpis(orders, items, reviews, sellers, customers, products) -> DataFrame:
     """Nine named metrics in long form (metric, value)."""
     done = with_order_times(orders.filter(F.col("order_status") == "delivered"))
-    ids = done.select("order_id")
-    one = lambda df, name, c: df.agg(c.cast("double").alias("value")).select(F.lit(name).alias("metric"), "value")
-    revenue = items.join(ids, "order_id", "left_semi")
+
+    def long(df: DataFrame, **metrics: Column) -> DataFrame:
+        one = df.agg(*[c.cast("double").alias(name) for name, c in metrics.items()])
+        return one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("metric"), F.col(name).alias("value")) for name in metrics])))
+
+    # one scan per table, several metrics from it
     parts = [
-        one(done, "total_delivered_orders", F.count_distinct("order_id")),
-        one(sellers, "total_sellers", F.count_distinct("seller_id")),
-        one(customers, "total_customers", F.count_distinct("customer_id")),
-        one(reviews, "total_reviews", F.count("*")),
-        one(revenue, "total_revenue", sum0(F.col("price") + F.col("freight_value"))),
-        one(done, "avg_delivery_days", F.avg("days_to_deliver")),
-        one(reviews, "avg_review_score", F.avg("review_score")),
-        one(reviews, "pct_negative_reviews", share_true(F.col("review_score") <= 2) * 100),
-        one(products, "total_products", F.count_distinct("product_id")),
+        long(done, total_delivered_orders=F.count_distinct("order_id"), avg_delivery_days=F.avg("days_to_deliver")),
+        long(sellers, total_sellers=F.count_distinct("seller_id")),
+        long(customers, total_customers=F.count_distinct("customer_id")),
+        long(reviews, total_reviews=F.count("*"), avg_review_score=F.avg("review_score"),
+             pct_negative_reviews=share_true(F.col("review_score") <= 2) * 100),
+        long(items.join(done.select("order_id"), "order_id", "left_semi"), total_revenue=sum0(F.col("price") + F.col("freight_value"))),
+        long(products, total_products=F.count_distinct("product_id")),
     ]
     out = parts[0]
     for p in parts[1:]:

@@ -10,17 +10,20 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.semantics import count_true, ratio
 
-SERIES = W.partitionBy("series_id")
 ORIGIN = "1970-01-01"
 
 
+def per_series():
+    return W.partitionBy("series_id")
+
+
 def day_number(ds="ds") -> Column:
     return F.date_diff(ds, F.lit(ORIGIN).cast("date"))
 
 
 def trim_tail(daily: DataFrame, meaningful: float = 1000.0) -> DataFrame:
     """Keep a series up to its last day above the level."""
-    last = F.max(F.when(F.col("y") > meaningful, F.col("ds"))).over(SERIES)
+    last = F.max(F.when(F.col("y") > meaningful, F.col("ds"))).over(per_series())
     return daily.withColumn("_last", last).filter(F.col("ds") <= F.col("_last")).drop("_last")
 
 
@@ -33,7 +36,7 @@ def date_range(daily: DataFrame, start: str | None = None, before: str | None =
 
 
 def cap_quantile(daily: DataFrame, p: float = 0.99) -> DataFrame:
-    return daily.withColumn("y", F.least("y", F.percentile("y", p).over(SERIES)))
+    return daily.withColumn("y", F.least("y", F.percentile("y", p).over(per_series())))
 
 
 def remediate(daily: DataFrame, start: str, shutdown: str, meaningful: float = 1000.0, cap: float = 0.99) -> DataFrame:
@@ -63,10 +66,10 @@ def zeros_to_null(daily: DataFrame) -> DataFrame:
 
 def interpolate(daily: DataFrame) -> DataFrame:
     """Fill nulls linearly by row position; trailing nulls repeat the last value, leading ones take the first."""
-    rows = daily.withColumn("_i", F.row_number().over(SERIES.orderBy("ds")))
+    rows = daily.withColumn("_i", F.row_number().over(per_series().orderBy("ds")))
     at = F.when(F.col("y").isNotNull(), F.col("_i"))
-    back = SERIES.orderBy("ds").rowsBetween(W.unboundedPreceding, 0)
-    ahead = SERIES.orderBy("ds").rowsBetween(0, W.unboundedFollowing)
+    back = per_series().orderBy("ds").rowsBetween(W.unboundedPreceding, 0)
+    ahead = per_series().orderBy("ds").rowsBetween(0, W.unboundedFollowing)
     known = rows.select("*", F.last("y", True).over(back).alias("_y0"), F.last(at, True).over(back).alias("_i0"),
                         F.first("y", True).over(ahead).alias("_y1"), F.first(at, True).over(ahead).alias("_i1"))
     inner = F.col("_y0") + (F.col("_y1") - F.col("_y0")) * (F.col("_i") - F.col("_i0")) / (F.col("_i1") - F.col("_i0"))
@@ -75,14 +78,14 @@ def interpolate(daily: DataFrame) -> DataFrame:
 
 def moving_average(daily: DataFrame, days: int = 30) -> DataFrame:
     """Trailing average over calendar days and over rows."""
-    w = SERIES.orderBy("_d").rangeBetween(-(days - 1), 0)
+    w = per_series().orderBy("_d").rangeBetween(-(days - 1), 0)
     return daily.withColumn("_d", day_number()).select("series_id", "ds", "y", F.avg("y").over(w).alias("ma_calendar"),
-                                                       F.avg("y").over(SERIES.orderBy("_d").rowsBetween(-(days - 1), 0)).alias("ma_rows"))
+                                                       F.avg("y").over(per_series().orderBy("_d").rowsBetween(-(days - 1), 0)).alias("ma_rows"))
 
 
 def gaps(daily: DataFrame) -> DataFrame:
     """Days after which at least one calendar day is missing."""
-    prev = F.lag("ds").over(SERIES.orderBy("ds"))
+    prev = F.lag("ds").over(per_series().orderBy("ds"))
     return daily.select("series_id", "ds", prev.alias("prev_ds")).withColumn("gap_days", F.date_diff("ds", "prev_ds") - 1).filter(F.col("gap_days") > 0)
 
 
@@ -142,7 +145,7 @@ def audit(history: DataFrame, forecast: DataFrame, horizon: int = 90) -> DataFra
     """Eleven checks per series in long form (series_id, check, passed, violations)."""
     need = ["ds", "yhat", "yhat_lower", "yhat_upper"]
     missing = len([c for c in need if c not in forecast.columns])
-    step = F.date_diff("ds", F.lag("ds").over(SERIES.orderBy("ds")))
+    step = F.date_diff("ds", F.lag("ds").over(per_series().orderBy("ds")))
     a = forecast.withColumn("_step", step).groupBy("series_id").agg(
         count_true(~F.date_format("ds", "yyyy-MM-dd").rlike(r"^\d{4}-\d{2}-\d{2}$")).alias("date_format"),
         count_true(~((F.col("yhat") >= F.col("yhat_lower")) & (F.col("yhat") <= F.col("yhat_upper")))).alias("yhat_in_bounds"),

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TRANSACTIONS = "invoice_no string, stock_code string, description string, quantity int, invoice_date string, unit_price double, customer_id double, country string"
 
-CHUNKS = T.StructType.fromDDL("chunk_id string, doc_name string, text string, tokens int, char_len int")
-QUESTIONS = T.StructType.fromDDL("id string, category string, topic string, question string, expected_keywords array<string>, relevant_docs array<string>, ground_truth_answer string, notes string")
-RECORDS = T.StructType.fromDDL("id string, question string, category string, relevant_docs array<string>, expected_keywords array<string>, ground_truth string, answer string, query_type string, "
+CHUNKS = "chunk_id string, doc_name string, text string, tokens int, char_len int"
+QUESTIONS = "id string, category string, topic string, question string, expected_keywords array<string>, relevant_docs array<string>, ground_truth_answer string, notes string"
+RECORDS = ("id string, question string, category string, relevant_docs array<string>, expected_keywords array<string>, ground_truth string, answer string, query_type string, "
                                "grade string, kw_pct double, retrieved_chunks array<struct<chunk_id:string,doc_name:string,similarity:double,text:string>>, source string")
 
 
@@ -29,7 +29,7 @@ def daily_csv(spark: SparkSession, path: str, date_format: str = "M/d/yyyy") ->
     return raw.toDF("ds", "y").withColumn("ds", F.to_date("ds", date_format))
 
 
-def json_documents(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
+def json_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
     """Nested records, one per line, or one array per file."""
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
