@@ -12,7 +12,7 @@ from .fixed_values import STOP_WORDS
 def raw_tokens(text: Column) -> Column:
     """Lower-case ASCII word tokens; a form of the word pattern that is equal in every regex engine."""
     parts = F.split(F.lower(text), r"[^\p{L}\p{N}_.]+")
-    stripped = F.transform(parts, lambda t: F.regexp_replace(t, r"^\.+|\.+$", ""))
+    stripped = F.transform(parts, lambda t: F.btrim(t, F.lit(".")))
     return F.filter(stripped, lambda t: t.rlike("^[a-z0-9._]+$"))
 
 

@@ -6,19 +6,22 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.fixed_values import DIRECT_RECALL, DIRECT_RECALL_DEFAULT, NON_ANSWERS
 from ..functions.semantics import any_of, count_true
-from ..functions.text import fixed, split_clean, token_set
-from .retrieval import token_cosine
+from ..functions.text import fixed, raw_tokens, split_clean, token_set
+from .retrieval import set_cosine
 
 SCORES = ("faithfulness", "context_recall", "answer_relevancy")
 
 
-def extractive_answer(question: Column, text: Column, doc: Column) -> Column:
+def extractive_answer(df: DataFrame, question: str = "question", text: str = "text", doc: str = "doc_name", out: str = "answer") -> DataFrame:
     """Sentence of the text with most question tokens (the first on ties), else its first 400 characters."""
-    sentences = F.filter(split_clean(text, r"[.\n|]"), lambda s: F.length(s) > 15)
-    q = token_set(question)
-    best = F.array_max(F.transform(sentences, lambda s, i: F.struct(F.size(F.array_intersect(token_set(s), q)).alias("hits"), (-i).alias("pos"), s.alias("s"))))
-    return (F.when(text.isNull(), "No relevant context found in the knowledge base.").when(F.size(sentences) == 0, F.substring(text, 1, 400))
-            .otherwise(F.concat(best["s"], F.lit(" [Source: "), doc, F.lit("]"))))
+    sentences = F.filter(split_clean(F.col(text), r"[.\n|]"), lambda s: F.length(s) > 15)
+    x = df.withColumns({"_s": sentences, "_q": token_set(F.col(question))})
+    # stop words are already out of the question side, so raw sentence tokens give the same hits
+    hits = lambda s: F.size(F.array_intersect(raw_tokens(s), F.col("_q")))
+    x = x.withColumn("_best", F.array_max(F.transform("_s", lambda s, i: F.struct(hits(s).alias("hits"), (-i).alias("pos"), s.alias("s")))))
+    answer = (F.when(F.col(text).isNull(), "No relevant context found in the knowledge base.").when(F.size("_s") == 0, F.substring(text, 1, 400))
+              .otherwise(F.concat(F.col("_best.s"), F.lit(" [Source: "), F.col(doc), F.lit("]"))))
+    return x.withColumn(out, answer).drop("_s", "_q", "_best")
 
 
 def parse_citations(answers: DataFrame, retrieved: DataFrame, id_col: str = "id", text: str = "answer") -> tuple[DataFrame, DataFrame]:
@@ -48,9 +51,10 @@ def grade(df: DataFrame, answer: str = "answer", expected: str = "expected_keywo
             .withColumn("kw_pct", pct * 100).withColumn("grade", F.when(pct >= 0.6, "PASS").when(pct > 0, "PARTIAL").otherwise("FAIL")))
 
 
-def faithfulness(answer: Column, contexts: Column) -> Column:
-    """Share of answer tokens present in the contexts."""
-    a, c = token_set(answer), token_set(F.array_join(contexts, " "))
+def faithfulness(answer: Column, contexts: Column, a: Column | None = None, c: Column | None = None) -> Column:
+    """Share of answer tokens present in the contexts; ``a`` and ``c`` may hold the token sets already."""
+    a = token_set(answer) if a is None else a
+    c = token_set(F.array_join(contexts, " ")) if c is None else c
     return (F.when((F.length(answer) == 0) | (F.size(contexts) == 0), F.lit(0.0)).when(F.size(a) == 0, F.lit(1.0))
             .otherwise(F.round(F.size(F.array_intersect(a, c)) / F.size(a), 4)).cast("double"))
 
@@ -65,16 +69,22 @@ def context_recall(retrieved_docs: Column, relevant_docs: Column, grade_col: Col
             .otherwise(F.round(hits / F.size(relevant_docs), 4)).cast("double"))
 
 
-def answer_relevancy(question: Column, answer: Column) -> Column:
+def answer_relevancy(question: Column, answer: Column, q: Column | None = None, a: Column | None = None) -> Column:
+    """Cosine of question and answer, 0 for an empty answer or a fixed non-answer."""
     bad = any_of([F.contains(F.lower(answer), F.lit(p)) for p in NON_ANSWERS])
-    return F.when((F.length(answer) == 0) | bad, F.lit(0.0)).otherwise(F.round(token_cosine(question, answer), 4)).cast("double")
+    cosine = set_cosine(token_set(question) if q is None else q, token_set(answer) if a is None else a)
+    return F.when((F.length(answer) == 0) | bad, F.lit(0.0)).otherwise(F.round(cosine, 4)).cast("double")
 
 
 def score_answers(df: DataFrame) -> DataFrame:
-    """Grade plus the three quality scores for (question, answer, contexts, retrieved_docs, relevant_docs, query_type)."""
-    return (grade(df).withColumn("faithfulness", faithfulness(F.col("answer"), F.col("contexts")))
+    """Grade plus the three quality scores for (question, answer, contexts, retrieved_docs, relevant_docs, query_type).
+
+    Token sets are columns of their own, so that each text is tokenised once.
+    """
+    x = grade(df).withColumns({"_a": token_set(F.col("answer")), "_q": token_set(F.col("question")), "_c": token_set(F.array_join("contexts", " "))})
+    return (x.withColumn("faithfulness", faithfulness(F.col("answer"), F.col("contexts"), F.col("_a"), F.col("_c")))
             .withColumn("context_recall", context_recall(F.col("retrieved_docs"), F.col("relevant_docs"), F.col("grade"), F.col("query_type")))
-            .withColumn("answer_relevancy", answer_relevancy(F.col("question"), F.col("answer"))))
+            .withColumn("answer_relevancy", answer_relevancy(F.col("question"), F.col("answer"), F.col("_q"), F.col("_a"))).drop("_a", "_q", "_c"))
 
 
 def range_guard(scored: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def expected_purchases(weeks, p: dict = BGNBD, terms: int = 150) -> Column:
     a = p["a"] if abs(p["a"] - 1.0) > 1e-6 else 1.0 + 1e-6
     s = F.lit(weeks).cast("double") if not isinstance(weeks, Column) else weeks
     z = s / (p["alpha"] + T + s)
-    series = hyp2f1_series(F.lit(a + p["b"] - 1 - p["r"]), F.lit(a - 1.0), x + (a + p["b"] - 1), z, terms)
+    series = hyp2f1_series(a + p["b"] - 1 - p["r"], a - 1.0, x + (a + p["b"] - 1), z, terms)
     grown = (x + (a + p["b"] - 1)) / (a - 1.0) * (1.0 - F.pow(1.0 - z, F.lit(a - 1.0)) * series)
     return grown / F.when(x > 0, 1.0 + _dropout(x, t, T, {**p, "a": a})).otherwise(F.lit(1.0))
 

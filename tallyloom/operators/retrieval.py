@@ -28,11 +28,15 @@ def centroids(vectors: DataFrame, key: str, vec: str = "embedding") -> DataFrame
     return Normalizer(inputCol="_m", outputCol="_u").transform(m).select(key, vector_to_array("_u").alias(vec))
 
 
+def set_cosine(a: Column, b: Column) -> Column:
+    """Cosine of two token sets as binary vectors, 0 if either is empty, clamped to [0, 1]."""
+    den = F.sqrt(F.size(a).cast("double") * F.size(b))
+    return F.when(den > 0, clamp(F.size(F.array_intersect(a, b)) / den, 0.0, 1.0)).otherwise(F.lit(0.0))
+
+
 def token_cosine(a: Column, b: Column) -> Column:
-    """Cosine of the binary token vectors of two texts, 0 if either is empty, clamped to [0, 1]."""
-    ta, tb = token_set(a), token_set(b)
-    den = F.sqrt(F.size(ta).cast("double") * F.size(tb))
-    return F.when(den > 0, clamp(F.size(F.array_intersect(ta, tb)) / den, 0.0, 1.0)).otherwise(F.lit(0.0))
+    """Cosine of the binary token vectors of two texts."""
+    return set_cosine(token_set(a), token_set(b))
 
 
 def token_overlap(question: Column, answer: Column) -> Column:

@@ -211,7 +211,7 @@ _best = f"""SELECT id, conv_id, turn, CASE WHEN len(ss)=0 THEN substr(text,1,400
 
 def extracted(s, d):
     a, top = V.answers(s, d).select("id", "conv_id", "turn", "question"), retrieved(s, d).filter("rank = 1").select("id", "text", "doc_name")
-    return a.join(top, "id", "left").select("id", "conv_id", "turn", A.extractive_answer(F.col("question"), F.col("text"), F.col("doc_name")).alias("answer"))
+    return A.extractive_answer(a.join(top, "id", "left")).select("id", "conv_id", "turn", "answer")
 
 
 @query("x06_extractive_answers", _best)
@@ -239,8 +239,8 @@ def _(s, d):
     q = V.questions(s, d).withColumn("query_id", F.col("conv_id") * 100 + F.col("turn"))
     qv, _m = R.text_vectors(q, "query_id", "question", fitted=model)
     hits = N.top_k_search(qv, vec, 5).filter("rank = 1").join(chunks.select("vec_id", "text", "doc_id"), "vec_id")
-    x = q.join(hits, "query_id", "left")
-    return x.select("query_id", "vec_id", F.round("score", 6).alias("score"), A.extractive_answer(F.col("question"), F.col("text"), F.col("doc_id").cast("string")).alias("answer"))
+    x = q.select("query_id", "question").join(hits.withColumn("doc_name", F.col("doc_id").cast("string")), "query_id", "left")
+    return r(A.extractive_answer(x).select("query_id", "vec_id", "score", "answer"), score=6)
 
 
 @query("x04_context_blocks", """SELECT id, string_agg('[SOURCE ' || rank || '] | doc: ' || doc_name || ' | chunk: ' || chunk_id || ' | relevance: ' || format('{:.4f}',similarity) || chr(10) || text,
