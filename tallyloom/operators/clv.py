@@ -110,10 +110,9 @@ def cohort_labels(scored: DataFrame, col: str = "cltv_90d") -> DataFrame:
     from .ordered import running_totals, value_counts, with_bucket
 
     counts = value_counts(scored, col).withColumn("_neg", -F.col(col))
-    cum = running_totals(with_bucket(counts, "_neg"), [F.col("_neg")], {"cum": "n"}).withColumn("above", F.col("cum") - F.col("n"))
-    n = scored.filter(F.col(col).isNotNull()).agg(F.count("*").alias("n")).scalar()
+    cum = running_totals(with_bucket(counts, "_neg"), [F.col("_neg")], {"cum": "n"}, totals={"_n": "n"}).withColumn("above", F.col("cum") - F.col("n"))
     lowest = lambda pct: F.min(F.when(F.col("above") * 100 < F.col("_n") * pct, F.col(col)))
-    cuts = cum.withColumn("_n", n).agg(F.struct(lowest(10).alias("vip"), lowest(30).alias("high"), lowest(60).alias("mid")).alias("c")).scalar()
+    cuts = cum.agg(F.struct(lowest(10).alias("vip"), lowest(30).alias("high"), lowest(60).alias("mid")).alias("c")).scalar()
     v = F.col(col)
     return scored.withColumn("_c", cuts).withColumn("cohort", F.when(v >= F.col("_c.vip"), "VIP").when(v >= F.col("_c.high"), "High")
                                                     .when(v >= F.col("_c.mid"), "Medium").otherwise("Low")).drop("_c")

@@ -32,20 +32,24 @@ def with_bucket(df: DataFrame, col: str, name: str = "_bucket") -> DataFrame:
 
 
 def running_totals(df: DataFrame, order_by: list[Column], sums: dict[str, str], by: list[str] = (),
-                   bucket: str = "_bucket") -> DataFrame:
+                   totals: dict[str, str] | None = None, bucket: str = "_bucket") -> DataFrame:
     """Add inclusive running sums ``{new column: source column}`` per ``by`` in the given order.
 
-    ``bucket`` must be non-decreasing in the order; negate it for a descending order.
+    ``totals`` adds whole-group sums, which come from the same small table as the offsets, so no join
+    on the group alone is ever needed. ``bucket`` must be non-decreasing in the order.
     """
-    by = list(by)
-    totals = df.groupBy(*by, bucket).agg(*[F.sum(src).alias(f"_o_{name}") for name, src in sums.items()])
-    # one row per group and bucket, so this window is small whatever the table size
+    by, totals = list(by), totals or {}
+    cells = df.groupBy(*by, bucket).agg(*[F.sum(src).alias(f"_o_{name}") for name, src in sums.items()],
+                                        *[F.sum(src).alias(f"_t_{name}") for name, src in totals.items()])
+    # one row per group and bucket, so these windows are small whatever the table size
     before = W.partitionBy(*by).orderBy(bucket).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*by, bucket, *[F.coalesce(F.sum(f"_o_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in sums])
+    offsets = cells.select(*by, bucket, *[F.coalesce(F.sum(f"_o_{name}").over(before), F.lit(0)).alias(f"_o_{name}") for name in sums],
+                           *[F.sum(f"_t_{name}").over(W.partitionBy(*by)).alias(name) for name in totals])
     local = W.partitionBy(*by, bucket).orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
     out = df.select("*", *[F.sum(src).over(local).alias(f"_l_{name}") for name, src in sums.items()])
+    # same keys as the window above: the rows are already partitioned for this join
     joined = out.join(offsets, [*by, bucket])
-    return joined.select(*df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums]).drop(bucket)
+    return joined.select(*df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums], *totals).drop(bucket)
 
 
 def value_counts(df: DataFrame, col: str, by: list[str] = (), **sums: str) -> DataFrame:
@@ -58,9 +62,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[s
     """Exact linearly interpolated quantiles per group, as a distributed job."""
     by = list(by)
     counts = value_counts(df, col, by)
-    cum = running_totals(with_bucket(counts, col), [F.col(col)], {"cum": "n"}, by)
-    total = df.filter(F.col(col).isNotNull()).groupBy(*by).agg(F.count("*").alias("_total"))
-    cum = cum.join(total, by) if by else cum.withColumn("_total", total.select("_total").scalar())
+    cum = running_totals(with_bucket(counts, col), [F.col(col)], {"cum": "n"}, by, {"_total": "n"})
     last = F.col("_total") - 1
     at = lambda pos: F.min(F.when(F.col("cum") > pos, F.col(col)))
     aggs = []
@@ -71,12 +73,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[s
     return out.select(*by, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in probs])
 
 
-def hash_rank(df: DataFrame, id_col: str, by: list[str] = (), seed: int = 42, name: str = "rank") -> DataFrame:
-    """1-based rank of every row per group in a reproducible random order; independent of partitioning."""
+def hash_rank(df: DataFrame, id_col: str, by: list[str] = (), seed: int = 42, name: str = "rank", size: str = "group_size") -> DataFrame:
+    """1-based rank of every row per group, and the group size, in a reproducible random order; independent of partitioning."""
     n = bucket_count(df)
     h = order_hash(id_col, seed, HASH_MODULUS)
     cut = df.withColumn("_h", h).withColumn("_bucket", F.floor(F.col("_h") * n / HASH_MODULUS)).withColumn("_one", F.lit(1))
-    return running_totals(cut, [F.col("_h"), F.col(id_col)], {name: "_one"}, by).drop("_h", "_one")
+    return running_totals(cut, [F.col("_h"), F.col(id_col)], {name: "_one"}, by, {size: "_one"}).drop("_h", "_one")
 
 
 def dense_index(df: DataFrame, id_col: str, by: list[str] = (), name: str = "idx") -> DataFrame:
@@ -93,12 +95,11 @@ def top_share(df: DataFrame, col: str, percents: list[int]) -> DataFrame:
     """
     counts = value_counts(df, col)
     neg = with_bucket(counts.withColumn("_neg", -F.col(col)), "_neg")
-    cum = running_totals(neg, [F.col("_neg")], {"cum": "n"})
-    sizes = df.filter(F.col(col).isNotNull()).agg(F.struct(F.count("*").alias("n"), F.sum(col).alias("s")).alias("t")).scalar()
+    cum = running_totals(neg.withColumn("_s", F.col(col) * F.col("n")), [F.col("_neg")], {"cum": "n"}, totals={"_total": "n", "_sum": "_s"})
     k = F.greatest(F.lit(1), F.expr("_total * pct div 100"))
     inside = F.least(F.col("n"), F.greatest(F.lit(0), F.col("k") - (F.col("cum") - F.col("n"))))
-    grid = cum.withColumn("_t", sizes).select(
-        "n", "cum", F.col(col).alias("v"), F.col("_t.n").alias("_total"), F.col("_t.s").alias("_sum"),
+    grid = cum.select(
+        "n", "cum", F.col(col).alias("v"), "_total", "_sum",
         F.explode(F.array(*[F.lit(p) for p in percents])).alias("pct")).withColumn("k", k)
     return grid.groupBy("pct").agg(
         F.max("k").cast("bigint").alias("k"), (F.sum(F.col("v") * inside) * 100 / F.max("_sum")).alias("share_pct"))

@@ -1,20 +1,25 @@
-"""Customer summaries: order-based and in the repeat-purchase convention."""
+"""Customer summaries: order-based and in the repeat-purchase convention.
+
+The age of a customer needs the last purchase of all customers. The summary is written once and that
+date is taken from it, so the transactions are joined and shuffled once, not twice.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.semantics import floor_days, ratio
+from ..session import materialize
 
 
 def manual_summary(clean: DataFrame) -> DataFrame:
     """Order totals, then per customer: orders - 1, mean order total, recency and age in elapsed days."""
     per_order = clean.groupBy("customer_id", "invoice_no", "invoice_date").agg(
         F.sum(F.col("quantity") * F.col("unit_price")).alias("order_total"))
-    end = clean.agg(F.max("invoice_date").alias("m")).scalar()
-    per = per_order.groupBy("customer_id").agg(
+    per = materialize(per_order.groupBy("customer_id").agg(
         F.min("invoice_date").alias("first_purchase"), F.max("invoice_date").alias("last_purchase"),
-        (F.count_distinct("invoice_no") - 1).alias("frequency"), F.avg("order_total").alias("monetary_value"))
+        (F.count_distinct("invoice_no") - 1).alias("frequency"), F.avg("order_total").alias("monetary_value")), "order-summary")
+    end = per.agg(F.max("last_purchase").alias("m")).scalar()
     return (per.withColumn("_end", end).withColumn("recency_days", floor_days("first_purchase", "last_purchase"))
             .withColumn("T_days", floor_days("first_purchase", "_end")).drop("_end"))
 
@@ -26,10 +31,10 @@ def repeat_summary(clean: DataFrame) -> DataFrame:
     """
     days = clean.groupBy("customer_id", F.to_date("invoice_date").alias("day")).agg(
         F.sum(F.col("quantity") * F.col("unit_price")).alias("total"))
-    end = clean.agg(F.to_date(F.max("invoice_date")).alias("m")).scalar()
-    per = days.groupBy("customer_id").agg(
+    per = materialize(days.groupBy("customer_id").agg(
         F.min("day").alias("first"), F.max("day").alias("last"), F.count("*").alias("n"),
-        F.sum("total").alias("total"), F.min_by("total", "day").alias("first_total"))
+        F.sum("total").alias("total"), F.min_by("total", "day").alias("first_total")), "day-summary")
+    end = per.agg(F.max("last").alias("m")).scalar()
     spend = ratio(F.col("total") - F.col("first_total"), F.col("n") - 1, 0.0)
     return per.select("customer_id", (F.col("n") - 1).cast("double").alias("frequency"),
                       F.date_diff("last", "first").cast("double").alias("recency"),

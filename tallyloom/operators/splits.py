@@ -11,14 +11,14 @@ from .ordered import hash_rank
 def stratified_split(df: DataFrame, id_col: str, label: str = "label", test_share: float = 0.2, seed: int = 42,
                      names: tuple[str, str] = ("train", "test")) -> DataFrame:
     """Per class exactly round(share * n) rows go to the second part, chosen by a hash order of the ids."""
-    sizes = df.groupBy(label).agg(F.round(F.count("*") * F.lit(test_share)).cast("bigint").alias("_k"))
-    ranked = hash_rank(df, id_col, [label], seed, "_rank").join(sizes, label)
-    return ranked.withColumn("split", F.when(F.col("_rank") <= F.col("_k"), names[1]).otherwise(names[0])).drop("_rank", "_k")
+    ranked = hash_rank(df, id_col, [label], seed, "_rank", "_size")
+    take = F.round(F.col("_size") * F.lit(test_share))
+    return ranked.withColumn("split", F.when(F.col("_rank") <= take, names[1]).otherwise(names[0])).drop("_rank", "_size")
 
 
 def stratified_folds(df: DataFrame, id_col: str, label: str = "label", k: int = 5, seed: int = 42) -> DataFrame:
-    ranked = hash_rank(df, id_col, [label], seed, "_rank")
-    return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank")
+    ranked = hash_rank(df, id_col, [label], seed, "_rank", "_size")
+    return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_size")
 
 
 def fixed_sample(df: DataFrame, id_col: str, n: int = 2000, seed: int = 42) -> DataFrame:
