@@ -342,8 +342,9 @@ def _(s, d):
 @query("j06_left_join_backfill", """SELECT customer_id, round(coalesce(s.days_silent, r.T),4) AS days_silent, coalesce(s.at_risk, false) AS at_risk FROM w_rfm r
     LEFT JOIN (SELECT * FROM w_scored WHERE frequency>0) s USING (customer_id)""")
 def _(s, d):
-    part = scored(s, d).filter(F.col("frequency") > 0).select("customer_id", "days_silent", "at_risk")
-    j = summary(s, d).select("customer_id", "T").join(part, "customer_id", "left")
+    base = summary(s, d)
+    part = clv.score(base, MODEL, SPEND).withColumn("at_risk", clv.at_risk()).filter(F.col("frequency") > 0).select("customer_id", "days_silent", "at_risk")
+    j = base.select("customer_id", "T").join(part, "customer_id", "left")
     return j.select("customer_id", F.round(F.coalesce("days_silent", "T"), 4).alias("days_silent"), F.coalesce("at_risk", F.lit(False)).alias("at_risk"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import clamp, sigmoid
 from ..operators import attribution as A, cleaning as C, metrics as M, quality as Q, resample as R, splits as P, threshold as T
+from ..session import materialize
 from . import views as V
 from .registry import Registry, r, rounded
 
@@ -75,14 +76,12 @@ def card_split(s, d):
 
 def train_test(s, d):
     """The split written once: training statistics, both parts and the checks all start from the same table."""
-    from ..session import materialize
-
     x = materialize(card_split(s, d), "card-split")
     return x.filter("split = 'train'").drop("split"), x.filter("split = 'test'").drop("split")
 
 
 def val_test(s, d):
-    x = P.stratified_split(V.scored(s, d), "event_id", test_share=0.5, seed=7, names=("val", "test"))
+    x = materialize(P.stratified_split(V.scored(s, d), "event_id", test_share=0.5, seed=7, names=("val", "test")), "scored-split")
     return x.filter("split = 'val'"), x.filter("split = 'test'")
 
 
@@ -296,6 +295,12 @@ def sweep_val(s, d):
     return T.sweep(val_test(s, d)[0])
 
 
+def swept_and_test(s, d):
+    """The 81 sweep rows of the validation part, written once and frozen, and the test part."""
+    val, test = val_test(s, d)
+    return materialize(T.sweep(val), "sweep"), test
+
+
 @query("m11_threshold_sweep", f"SELECT {rounded(_sw)} FROM w_sweep")
 def sweep_query(s, d):
     return r(sweep_val(s, d), **_swd)
@@ -320,8 +325,7 @@ def _(s, d):
     round(recall-lag(recall) OVER (ORDER BY name),6) AS delta_recall, lag(fn) OVER (ORDER BY name)-fn AS fn_reduced, fp-lag(fp) OVER (ORDER BY name) AS fp_change
     FROM (SELECT CASE name WHEN 'cost_optimal' THEN 'optimal' ELSE name END AS name, threshold_e4, tp, fp, fn, tn, {_ratios} FROM w_applied WHERE name IN ('default','cost_optimal')) x""")
 def _(s, d):
-    val, test = val_test(s, d)
-    return r(T.default_vs_optimal(T.sweep(val), test), precision=6, recall=6, f1=6, f2=6, delta_recall=6)
+    return r(T.default_vs_optimal(*swept_and_test(s, d)), precision=6, recall=6, f1=6, f2=6, delta_recall=6)
 
 
 _imp = "scenario threshold_e4 tp fp fn tn test_cost:3 annual_cost:0 caught_pct:6 false_alarm_pct:6"
@@ -329,8 +333,7 @@ _imp = "scenario threshold_e4 tp fp fn tn test_cost:3 annual_cost:0 caught_pct:6
 
 @query("m14_scenario_impact", f"SELECT {rounded(_imp)} FROM w_impact")
 def _(s, d):
-    val, test = val_test(s, d)
-    return r(T.impact(T.sweep(val), test), test_cost=3, annual_cost=0, caught_pct=6, false_alarm_pct=6)
+    return r(T.impact(*swept_and_test(s, d)), test_cost=3, annual_cost=0, caught_pct=6, false_alarm_pct=6)
 
 
 @query("m15_annual_scale", "SELECT round(count(*)/0.2::DOUBLE/2*365.25,4) AS annual_rows, round(avg(amount) FILTER (label=1)*2.5,6) AS cost_fn FROM w_test")
@@ -341,8 +344,7 @@ def _(s, d):
 @query("m16_cost_sensitivity", """SELECT a.unit_fp::INT AS cost_fp, b.unit_fn::INT AS cost_fn, round(min(fp*unit_fp+fn*unit_fn)*((SELECT count(*) FROM w_test)/0.2::DOUBLE/2*365.25)/(SELECT count(*) FROM w_test)/1e6::DOUBLE,6) AS annual_musd
     FROM w_sweep, generate_series(10,190,20) a(unit_fp), generate_series(50,950,100) b(unit_fn) GROUP BY ALL""")
 def _(s, d):
-    val, test = val_test(s, d)
-    return r(T.cost_sensitivity(T.sweep(val), test), annual_musd=6)
+    return r(T.cost_sensitivity(*swept_and_test(s, d)), annual_musd=6)
 
 
 def _sv(step, x, y, base):
@@ -353,8 +355,7 @@ def _sv(step, x, y, base):
 @query("m17_savings", " UNION ALL ".join([_sv("none_to_default", "no_model", "default", "no_model"), _sv("none_to_optimal", "no_model", "cost_optimal", "no_model"),
                                            _sv("default_to_optimal", "default", "cost_optimal", "no_model")]))
 def _(s, d):
-    val, test = val_test(s, d)
-    return r(T.savings(T.impact(T.sweep(val), test)), saving=1, saving_pct=6)
+    return r(T.savings(T.impact(*swept_and_test(s, d))), saving=1, saving_pct=6)
 
 
 # --- attribution ---

@@ -8,6 +8,7 @@ from ..functions.fixed_values import COMPLAINT_THEMES
 from ..functions.semantics import floor_days, sum0
 from ..functions.text import any_keyword
 from ..operators import sales as S
+from ..session import materialize
 from . import views as V
 from .registry import Registry, r
 from .views import with_views as sql
@@ -215,7 +216,7 @@ def delivery_query(s, d):
 
 @query("a11_delivery_extremes", "SELECT extreme, region, round(value,6) AS value FROM w_extremes")
 def _(s, d):
-    return r(S.delivery_extremes(delivery(s, d)), value=6)
+    return r(S.delivery_extremes(materialize(delivery(s, d), "delivery")), value=6)
 
 
 @query("a12_score_distribution", "SELECT review_score, n, round(pct,6) AS pct FROM w_dist")
@@ -254,7 +255,7 @@ def _(s, d):
     UNION ALL SELECT 'bottom', seller_id, round(total_revenue,4) FROM
       (SELECT * FROM w_sellers ORDER BY round(total_revenue,4), seller_id DESC LIMIT 10) b""")
 def _(s, d):
-    st, rev = stats(s, d).select("seller_id", F.round("total_revenue", 4).alias("total_revenue")), F.col("total_revenue")
+    st, rev = materialize(stats(s, d).select("seller_id", F.round("total_revenue", 4).alias("total_revenue")), "sellers"), F.col("total_revenue")
     top = st.orderBy(rev.desc(), "seller_id").limit(10).withColumn("side", F.lit("top"))
     return top.unionByName(st.orderBy(rev, F.col("seller_id").desc()).limit(10).withColumn("side", F.lit("bottom")))
 
@@ -360,8 +361,10 @@ REPORT_SQL = {
 }
 SQL.update({k: sql("\nUNION ALL ".join(v), EXTRA) for k, v in REPORT_SQL.items()})
 QUERIES.update({
-    "r01_monthly_report": lambda s, d: S.monthly_report(lines(s, d)),
-    "r02_seller_report": lambda s, d: S.seller_report(stats(s, d)),
-    "r03_delivery_report": lambda s, d: S.delivery_report(delivery(s, d)),
+    # the aggregates behind a report are written once and feed all its sections
+    "r01_monthly_report": lambda s, d: S.monthly_report(
+        materialize(S.order_category_totals(lines(s, d)), "order-categories").withColumnRenamed("order_total", "revenue")),
+    "r02_seller_report": lambda s, d: S.seller_report(materialize(stats(s, d), "sellers")),
+    "r03_delivery_report": lambda s, d: S.delivery_report(materialize(delivery(s, d), "delivery")),
     "r04_complaint_report": lambda s, d: S.complaint_report(V.reviews(s, d), V.orders(s, d)),
 })
