@@ -66,3 +66,13 @@ def unit(a: Column) -> Column:
 
 def any_of(conds: list[Column]) -> Column:
     return reduce(lambda x, y: x | y, conds)
+
+
+def as_instant(ts: str) -> Column:
+    """Zone-free time as the same clock time in UTC, whatever the session zone; event time needs an instant."""
+    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {ts})"))
+
+
+def as_clock(ts: str) -> Column:
+    """The UTC clock time of an instant, without a zone."""
+    return F.expr(f"timestampadd(MICROSECOND, unix_micros({ts}), TIMESTAMP_NTZ '1970-01-01 00:00:00')")

@@ -192,7 +192,8 @@ def _audit_sql():
 
 @query("t09_forecast_audit", _audit_sql())
 def _(s, d):
-    return S.audit(*future(s, d))
+    h, fc = future(s, d)
+    return S.audit(h, materialize(fc, "forecast"))
 
 
 @query("q07_series_checks", """SELECT series_id, count(*) AS rows, min(ds) AS first_ds, max(ds) AS last_ds, count(*) FILTER (y IS NULL) AS nulls, count(*)-count(DISTINCT ds) AS duplicate_days,

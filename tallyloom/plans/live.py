@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.semantics import as_clock, as_instant
 from ..session import fresh_path
 from ..sources import readers as RD, writers as WR
 from ..streaming import monitor as Z
@@ -30,7 +31,7 @@ def stream(s, d):
 
 def scored_stream(s, d):
     label = F.when((F.col("event_type") == "error") & (F.col("user_id") % 10 == 0), 1).otherwise(0)
-    return stream(s, d).select("event_id", F.col("ts").cast("timestamp").alias("ts"), label.alias("label"), ((F.col("event_id") * 7919) % 1000 * 7 + label * 2500).cast("bigint").alias("score_e4"))
+    return stream(s, d).select("event_id", as_instant("ts").alias("ts"), label.alias("label"), ((F.col("event_id") * 7919) % 1000 * 7 + label * 2500).cast("bigint").alias("score_e4"))
 
 
 @query("z01_score_and_flag", "SELECT event_id, label, score_e4, flagged FROM w_flag")
@@ -42,15 +43,15 @@ def _(s, d):
     coalesce(tp/nullif(tp+fn,0)::DOUBLE,0)<0.75 OR coalesce(fp/nullif(fp+tn,0)::DOUBLE,0)>0.003 AS breach FROM w_week""")
 def _(s, d):
     t = Z.run_to_table(Z.weekly_monitor(Z.flag(scored_stream(s, d), THRESHOLD)), "weekly")
-    return r(t.withColumn("week_start", F.col("week_start").cast("timestamp_ntz")), recall=8, false_alarm=8)
+    return r(t.withColumn("week_start", as_clock("week_start")), recall=8, false_alarm=8)
 
 
 @query("z03_sliding_sum", """SELECT e AS window_end, round(sum(value),4) AS total, sum(n)::BIGINT AS events FROM (SELECT (day + k::INT)::TIMESTAMP AS e, value, n FROM w_day, generate_series(1,30) g(k)
     WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY) x GROUP BY e HAVING e <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""")
 def _(s, d):
-    e = stream(s, d).select(F.col("ts").cast("timestamp").alias("ts"), "value")
+    e = stream(s, d).select(as_instant("ts").alias("ts"), "value")
     t = Z.run_to_table(Z.sliding_sum(e), "sliding")
-    return r(t.withColumn("window_end", F.col("window_end").cast("timestamp_ntz")), total=4)
+    return r(t.withColumn("window_end", as_clock("window_end")), total=4)
 
 
 @query("z04_customer_state", """SELECT user_id, min(day) AS first_day, max(day) AS last_day, count(*)-1 AS frequency, (max(day)-min(day))::INT AS recency,
@@ -61,7 +62,7 @@ def _(s, d):
 
 @query("z05_exactly_once", "SELECT event_id, user_id, value FROM events")
 def _(s, d):
-    e = lambda: stream(s, d).select("event_id", "user_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    e = lambda: stream(s, d).select("event_id", "user_id", "value", as_instant("ts").alias("ts"))
     return Z.run_to_table(Z.deduplicated(e().union(e())), "unique").select("event_id", "user_id", "value")
 
 
