@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,11 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return base
 
 
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tallyloom-")
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that no other run uses."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")

@@ -126,3 +126,26 @@ def test_escaped_words_are_literal(spark):
 def test_order_hash_is_a_permutation():
     seen = {(i % 1_000_003 * 7919 + 42) % 1_000_003 for i in range(50_000)}
     assert len(seen) == 50_000
+
+
+def test_clock_time_survives_any_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        t = dt.datetime(2024, 3, 10, 2, 30, 0, 123456)  # does not exist on the clocks of that zone
+        df = spark.createDataFrame([(t,)], "t timestamp_ntz").withColumn("i", S.as_instant("t"))
+        assert df.select(S.as_clock("i").alias("v")).first().v == t
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_working_folder_comes_from_the_session():
+    from types import SimpleNamespace
+
+    from tallyloom.session import shared_dir
+
+    fake = lambda master, value: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: value), sparkContext=SimpleNamespace(master=master))
+    assert shared_dir(fake("yarn", "hdfs:///work")) == "hdfs:///work"
+    assert shared_dir(fake("local[2]", None)) == shared_dir(fake("local[2]", None))
+    with pytest.raises(ValueError):
+        shared_dir(fake("yarn", None))

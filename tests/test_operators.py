@@ -117,6 +117,22 @@ def test_repeat_summary_ignores_the_first_day(spark):
     assert (b.frequency, b.recency, b["T"], b.monetary_value) == (0, 0, 0, 0.0)
 
 
+def test_summary_with_one_hot_customer(spark):
+    """One customer holds a third of all rows; the result is that of a plain pandas computation."""
+    rng = np.random.default_rng(8)
+    n = 3000
+    cust = np.where(np.arange(n) % 3 == 0, 1, rng.integers(2, 60, n))
+    ts = pd.Timestamp("2021-01-01") + pd.to_timedelta(rng.integers(0, 24 * 200, n), unit="h")
+    pdf = pd.DataFrame({"customer_id": cust, "invoice_no": np.arange(n).astype(str), "invoice_date": ts, "quantity": rng.integers(1, 9, n).astype(float), "unit_price": np.round(rng.random(n) * 20 + 1, 2)})
+    df = spark.createDataFrame(pdf).withColumn("invoice_date", F.col("invoice_date").cast("timestamp_ntz"))
+    got = rfm.repeat_summary(df.repartition(9)).toPandas().set_index("customer_id").sort_index()
+    day = pdf.assign(day=pdf.invoice_date.dt.normalize(), total=pdf.quantity * pdf.unit_price).groupby(["customer_id", "day"]).total.sum().reset_index()
+    for c, g in day.groupby("customer_id"):
+        rest = g.sort_values("day").total.iloc[1:]
+        assert got.loc[c].frequency == len(g) - 1 and got.loc[c].recency == (g.day.max() - g.day.min()).days
+        assert got.loc[c]["T"] == (day.day.max() - g.day.min()).days and got.loc[c].monetary_value == pytest.approx(rest.mean() if len(rest) else 0)
+
+
 def test_cleaning_counts_the_first_broken_rule(spark):
     rows = [(None, "C1", -1.0, 0.0), (1.0, "C2", -1.0, 1.0), (1.0, "3", 0.0, 1.0), (1.0, "4", 1.0, 0.0), (1.0, "5", 1.0, 1.0)]
     df = spark.createDataFrame(rows, "customer_id double, invoice_no string, quantity double, unit_price double")
