@@ -9,9 +9,15 @@ from pyspark.sql import Column, functions as F
 DAY_MICROS = 86_400_000_000
 
 
+def clock_micros(ts: str) -> Column:
+    """Microseconds of a zone-free time since 1970; no step of it looks at the session zone."""
+    return F.expr(f"unix_date(to_date({ts})) * {DAY_MICROS} + (hour({ts}) * 3600 + minute({ts}) * 60) * 1000000L "
+                  f"+ cast(extract(SECOND FROM {ts}) * 1000000 AS bigint)")
+
+
 def floor_days(start: str, end: str) -> Column:
     """Whole elapsed days from start to end, floored toward minus infinity (not calendar days)."""
-    return F.floor(F.expr(f"timestampdiff(MICROSECOND, {start}, {end}) / {DAY_MICROS}")).cast("bigint")
+    return F.floor((clock_micros(end) - clock_micros(start)) / DAY_MICROS).cast("bigint")
 
 
 def sum0(c) -> Column:
@@ -70,7 +76,7 @@ def any_of(conds: list[Column]) -> Column:
 
 def as_instant(ts: str) -> Column:
     """Zone-free time as the same clock time in UTC, whatever the session zone; event time needs an instant."""
-    return F.timestamp_micros(F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', {ts})"))
+    return F.timestamp_micros(clock_micros(ts))
 
 
 def as_clock(ts: str) -> Column:

@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.semantics import clock_micros
+
 V_FEATURES = [f"v{i}" for i in range(1, 29)]
 CARD_COLUMNS = ["time_s", *V_FEATURES, "amount", "label"]
 
@@ -127,8 +129,8 @@ def card(spark, d) -> DataFrame:
     emb = table(spark, d, "embeddings").select("vec_id", "embedding")
     first = e.agg(F.min("ts").alias("t0")).scalar()
     n = emb.agg(F.count("*").alias("n")).scalar()
-    base = e.select("event_id", (F.col("event_id") % n).alias("vec_id"),
-                    F.timestamp_diff("SECOND", first, F.col("ts")).cast("double").alias("time_s"),
+    base = e.withColumn("t0", first).select("event_id", (F.col("event_id") % n).alias("vec_id"),
+                    F.floor((clock_micros("ts") - clock_micros("t0")) / 1_000_000).cast("double").alias("time_s"),
                     F.col("value").alias("amount"),
                     F.when((F.col("event_type") == "error") & (F.col("user_id") % 10 == 0), 1).otherwise(0).alias("label"))
     comps = [F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(V_FEATURES)]
