@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, jaccard, packing
+from . import exact_dedup, jaccard, lexicon, packing, prefix_counts, url_filter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -43,3 +43,23 @@ def _(spark, d):
     FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
 def _(spark, d):
     return exact_dedup.exact_groups(table(spark, d, "documents"))
+
+
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+@query("op4_url_filters")
+def _(spark, d):
+    return url_filter.judge(table(spark, d, "pages"), URL_RULES)
+
+
+@query("op7_bpe_round_trip")
+def _(spark, d):
+    docs, vocabulary = table(spark, d, "documents"), tokenizer("byte_bpe_50k.json")
+    coded = lexicon.encode(docs, vocabulary, lexicon.compile_lexicon(docs, vocabulary))
+    return lexicon.decode(coded, vocabulary).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.encode(F.concat_ws(",", F.col("ids").cast("array<string>")), "UTF-8"), 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@query("op8_token_counts")
+def _(spark, d):
+    return prefix_counts.token_counts(table(spark, d, "documents"), tokenizer("piece_bpe_32k.model"))

@@ -79,10 +79,11 @@ class PairTable:
 NEVER = 1 << 60
 
 
-def merge_words(symbols: np.ndarray, offsets: np.ndarray, table: PairTable) -> tuple[np.ndarray, np.ndarray]:
+def merge_words(symbols: np.ndarray, offsets: np.ndarray, table: PairTable, single: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Byte-pair merging of many words side by side: every round applies the best pair of each word, the leftmost of equals first.
 
-    Words are segments of ``symbols``; returns the merged symbols and their offsets. Same result as merging each word alone.
+    Words are segments of ``symbols``; returns the merged symbols and their offsets. Same result as merging each word alone. A round merges all places
+    of the best pair, which is the same thing where no merge makes a pair of a better rank; ``single`` merges one place, for tables without that order.
     """
     word = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     sym, done_sym, done_word = symbols.astype(np.int64), [], []
@@ -104,6 +105,8 @@ def merge_words(symbols: np.ndarray, offsets: np.ndarray, table: PairTable) -> t
         chain = np.concatenate([[True], np.diff(hit) != 1]) if len(hit) else np.zeros(0, bool)
         place = np.arange(len(hit)) - np.maximum.accumulate(np.where(chain, np.arange(len(hit)), 0)) if len(hit) else hit
         hit = hit[place % 2 == 0]
+        if single:
+            hit = hit[np.unique(word[hit], return_index=True)[1]]
         sym[hit] = table.results[at[hit]]
         alive = ~over
         alive[hit + 1] = False
@@ -128,3 +131,32 @@ def fast_encoder(path: str):
 
     model = byte_bpe(path)
     return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=model.ids, special_tokens=model.special)
+
+
+class PieceBPE:
+    """A SentencePiece BPE model: every adjacent pair whose text is a piece can merge, better scores first; unknown characters fall back to bytes."""
+
+    SPACE = "\u2581"
+
+    def __init__(self, path: str):
+        from sentencepiece import sentencepiece_model_pb2
+
+        model = sentencepiece_model_pb2.ModelProto()
+        with open(path, "rb") as f:
+            model.ParseFromString(f.read())
+        norm = model.normalizer_spec
+        if model.trainer_spec.model_type != 2 or norm.precompiled_charsmap or norm.remove_extra_whitespaces or not norm.add_dummy_prefix or not model.trainer_spec.byte_fallback or any(p.type == 4 for p in model.pieces):
+            raise ValueError(f"{path}: only plain BPE models with byte fallback and without normalisation are supported")
+        self.texts = {i: p.piece for i, p in enumerate(model.pieces) if p.type == 1}
+        self.ids = {t: i for i, t in self.texts.items()}
+        if any(self.SPACE in t.lstrip(self.SPACE) for t in self.ids):
+            raise ValueError(f"{path}: pieces with a space inside are not supported")
+        self.longest = max(map(len, self.ids))
+        place = {i: r for r, i in enumerate(sorted(self.texts, key=lambda i: -model.pieces[i].score))}
+        found = [(self.ids[t[:c]] << 32 | self.ids[t[c:]], place[i], i) for i, t in self.texts.items() for c in range(1, len(t)) if t[:c] in self.ids and t[c:] in self.ids]
+        self.table = PairTable(*(np.array(c, np.int64) for c in zip(*found)))
+
+
+@lru_cache(maxsize=2)
+def piece_bpe(path: str) -> PieceBPE:
+    return PieceBPE(path)
