@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, jaccard, lexicon, packing, prefix_counts, url_filter
+from . import exact_dedup, jaccard, lexicon, packing, prefix_counts, quality_crf, url_filter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
