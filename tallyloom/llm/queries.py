@@ -63,3 +63,9 @@ def _(spark, d):
 @query("op8_token_counts")
 def _(spark, d):
     return prefix_counts.token_counts(table(spark, d, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query("op5_quality_classifier")
+def _(spark, d):
+    docs = table(spark, d, "documents")
+    return quality_crf.quality_scores(docs, quality_crf.train(docs, table(spark, d, "labels")))
