@@ -122,9 +122,11 @@ def distinct_sorted(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
 
 def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of each segment; 0 for empty ones. Unsigned sums wrap."""
-    total = np.zeros(len(values) + 1, values.dtype)
-    np.cumsum(values, out=total[1:])
-    return total[offsets[1:]] - total[offsets[:-1]]
+    out = np.zeros(len(offsets) - 1, values.dtype)
+    full = np.diff(offsets) > 0
+    if full.any():
+        out[full] = np.add.reduceat(values, offsets[:-1][full])
+    return out
 
 
 def shingle_sets(column: pa.Array | pa.ChunkedArray, k: int, limit: int = 4 << 20):

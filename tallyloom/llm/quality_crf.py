@@ -184,11 +184,11 @@ def quality_scores(docs: DataFrame, model, id_col: str = "doc_id", text_col: str
 
     def keepers(batches):
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("\0text"))
-            good = [score >= THRESHOLD for _, _, score, _ in scores(column)]
-            yield batch.drop_columns(["\0text"]).filter(pa.array(np.concatenate([*good, np.zeros(0, bool)])))
+            good = [score >= THRESHOLD for _, _, score, _ in scores(batch.column(0))]
+            rows = pa.RecordBatch.from_arrays(batch.columns[1:], schema=pa.schema([batch.schema.field(i) for i in range(1, batch.num_columns)]))
+            yield rows.filter(pa.array(np.concatenate([*good, np.zeros(0, bool)])))
 
     if keep_rows:
-        return docs.withColumn("\0text", F.col(f"`{text_col}`").cast("string")).mapInArrow(keepers, docs.schema)
+        return docs.select(F.col(f"`{text_col}`").cast("string").alias("scored text"), "*").mapInArrow(keepers, docs.schema)
     out = plain(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int, n_lines long")
     return out.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"), "score", "predicted", "n_lines")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, jaccard, lexicon, packing, prefix_counts, quality_crf, url_filter
+import corpus_pipeline
+
+from . import backoff_lm, exact_dedup, jaccard, lexicon, line_dedup, packing, prefix_counts, quality_crf, url_filter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -69,3 +71,18 @@ def _(spark, d):
 def _(spark, d):
     docs = table(spark, d, "documents")
     return quality_crf.quality_scores(docs, quality_crf.train(docs, table(spark, d, "labels")))
+
+
+@query("op9_backoff_scores")
+def _(spark, d):
+    return backoff_lm.backoff_scores(table(spark, d, "documents"))
+
+
+@query("op10_line_dedup")
+def _(spark, d):
+    return line_dedup.dedup_lines(table(spark, d, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
