@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import backoff_lm, exact_dedup, jaccard, lexicon, line_dedup, packing, prefix_counts, quality_crf, url_filter
+from . import backoff_lm, exact_dedup, jaccard, lexicon, line_dedup, multiprobe, packing, prefix_counts, quality_crf, url_filter
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -50,6 +50,11 @@ def _(spark, d):
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
 
+@query("op3_nearest_neighbours")
+def _(spark, d):
+    return multiprobe.nearest(table(spark, d, "embeddings"))
+
+
 @query("op4_url_filters")
 def _(spark, d):
     return url_filter.judge(table(spark, d, "pages"), URL_RULES)
