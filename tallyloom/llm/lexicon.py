@@ -20,11 +20,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
 from .hashing import SPACE, U, slices, span_hashes, text_buffers, words
-from .tables import plain
+from .tables import keep, plain
 from .vocabulary import ByteBPE, byte_bpe, merge_words
 
 WORDS = 50_000       # frequent words in the lexicon
-CACHE = 400_000      # words whose ids a worker keeps at hand
+CACHE = 200_000      # words whose ids a worker keeps at hand
+SLICE = 1 << 20      # bytes of text that are encoded at a time
 BLANK = "\t-\r \x85\xa0  -     　"  # Unicode white space
 UNIT = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 
@@ -34,7 +35,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffers(batch.column(0))
-            for a, b in slices(offsets, 8 << 20):
+            for a, b in slices(offsets, 4 << 20):
                 lo, part = offsets[a], raw[offsets[a]:offsets[b]]
                 starts, ends, first = words(part, offsets[a:b + 1] - lo)
                 if not len(starts):
@@ -117,10 +118,17 @@ def split_ids(units: list[str], model: ByteBPE) -> tuple[np.ndarray, np.ndarray]
 def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", words_kept: int = WORDS) -> str:
     """Count the words of all texts, compile the most frequent ones, and give the file to all executors; returns its name.
 
-    At most ``words_kept`` words pass the driver.
+    At most ``words_kept`` words pass the driver. A word seen once is never frequent.
     """
-    counted = word_counts(plain(docs, text=text_col))
-    rows = counted.filter(F.octet_length("word") <= 64).orderBy(F.desc("n"), "word").limit(words_kept).collect()
+    counted = keep(word_counts(plain(docs, text=text_col)).filter((F.col("n") > 1) & (F.octet_length("word") <= 64)), "words")
+    # the smallest count that at most words_kept words reach, from a histogram of a few hundred rows
+    least, total = None, 0
+    for bin_, n, low in sorted(((r["bin"], r["words"], r["low"]) for r in counted.groupBy(F.floor(F.log2("n") * 16).alias("bin")).agg(F.count("*").alias("words"), F.min("n").alias("low")).collect()), reverse=True):
+        total += n
+        if total > words_kept:
+            break
+        least = low
+    rows = counted.filter(F.col("n") >= least).select("word").collect() if least else []
     entries = sorted({w for w in (bytes(r["word"]) for r in rows) if valid(w)})
     keys, targets, skips, final = minimal_automaton(entries)
     ids, off = split_ids([w.decode() for w in entries], byte_bpe(tokenizer))
@@ -230,39 +238,55 @@ def gather(source: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarra
     return source[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + size, size)]
 
 
-def encode(docs: DataFrame, tokenizer: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids): the token ids of every whole text as the ``tokenizers`` library gives them without added special tokens.
+class Decoder:
+    """Texts of token ids."""
+
+    def __init__(self, tokenizer: str):
+        table = byte_bpe(tokenizer).bytes_of
+        pieces = [table.get(i, b"") for i in range(max(table) + 1)]
+        self.size = np.array([len(p) for p in pieces], np.int64)
+        self.begin, self.source = np.cumsum(self.size) - self.size, np.frombuffer(b"".join(pieces), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.size)):
+            raise ValueError("an id is not in the vocabulary")
+        ends = np.concatenate([[0], np.cumsum(self.size[ids])])[offsets].tolist()
+        data = memoryview(gather(self.source, self.begin[ids], self.size[ids]))
+        return [str(data[s:e], "utf-8", "replace") for s, e in zip(ends[:-1], ends[1:])]
+
+
+def _rows_and_ids(batches, coder: Encoder):
+    """(ids column of a slice of rows, its token ids, their offsets)."""
+    for batch in batches:
+        raw, offsets = text_buffers(batch.column(1))
+        data = memoryview(raw)
+        for a, b in slices(offsets, SLICE):
+            texts = [str(data[s:e], "utf-8") for s, e in zip(offsets[a:b].tolist(), offsets[a + 1:b + 1].tolist())]
+            yield batch.column(0).slice(a, b - a), *coder.encode(texts)
+
+
+def encode(docs: DataFrame, tokenizer: str, lexicon: str, id_col: str = "doc_id", text_col: str = "text", texts_back: bool = False) -> DataFrame:
+    """(doc_id, ids): the token ids of every whole text as the ``tokenizers`` library gives them without added special tokens; ``texts_back`` adds the decoded text.
 
     Strings of special tokens inside a text become those tokens, as in the library. A null or empty text has no ids. Every row, repeated ones too, gives a row; ids may be
     null; other columns are ignored.
     """
     def run(batches):
-        coder = Encoder(tokenizer, lexicon)
-        for batch in batches:
-            raw, offsets = text_buffers(batch.column(1))
-            data = raw.tobytes()
-            for a, b in slices(offsets, 4 << 20):
-                ids, off = coder.encode([data[s:e].decode() for s, e in zip(offsets[a:b].tolist(), offsets[a + 1:b + 1].tolist())])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))], names=["doc_id", "ids"])
-    return plain(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=text_col).mapInArrow(run, "doc_id long, ids array<int>")
+        coder, back = Encoder(tokenizer, lexicon), Decoder(tokenizer) if texts_back else None
+        for rows, ids, off in _rows_and_ids(batches, coder):
+            out = [rows, pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids, pa.int32()))]
+            yield pa.RecordBatch.from_arrays(out + ([pa.array(back.decode(ids, off), pa.string())] if back else []), names=["doc_id", "ids", "text"][:len(out) + bool(back)])
+    return plain(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=text_col).mapInArrow(run, "doc_id long, ids array<int>" + ", text string" * texts_back)
 
 
 def decode(coded: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(doc_id, ids, text) of token ids, special tokens as their text. Bytes that are no UTF-8 become U+FFFD. Null ids give an empty text; an unknown id fails."""
     def run(batches):
-        table = byte_bpe(tokenizer).bytes_of
-        pieces = [table.get(i, b"") for i in range(max(table) + 1)]
-        size = np.array([len(p) for p in pieces], np.int64)
-        begin, source = np.cumsum(size) - size, np.frombuffer(b"".join(pieces), np.uint8)
+        back = Decoder(tokenizer)
         for batch in batches:
-            lists = batch.column(1)
-            for a, b in slices(np.concatenate([[0], np.cumsum(np.nan_to_num(np.asarray(lists.value_lengths().fill_null(0)), nan=0).astype(np.int64))]), 1 << 20):
-                part = lists.slice(a, b - a)
+            count = np.asarray(batch.column(1).value_lengths().fill_null(0)).astype(np.int64)
+            for a, b in slices(np.concatenate([[0], np.cumsum(count)]), SLICE // 4):
+                part = batch.column(1).slice(a, b - a)
                 ids = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                if len(ids) and (ids.min() < 0 or ids.max() >= len(pieces)):
-                    raise ValueError("an id is not in the vocabulary")
-                count = np.asarray(part.value_lengths().fill_null(0)).astype(np.int64)
-                ends = np.concatenate([[0], np.cumsum(size[ids])])[np.concatenate([[0], np.cumsum(count)])].tolist()
-                data = gather(source, begin[ids], size[ids]).tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), part, pa.array([data[s:e].decode("utf-8", errors="replace") for s, e in zip(ends[:-1], ends[1:])])], names=["doc_id", "ids", "text"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), part, pa.array(back.decode(ids, np.concatenate([[0], np.cumsum(count[a:b])])), pa.string())], names=["doc_id", "ids", "text"])
     return plain(coded, doc_id=id_col, ids=ids_col).mapInArrow(run, "doc_id long, ids array<int>, text string")

@@ -63,8 +63,8 @@ def _(spark, d):
 @query("op7_bpe_round_trip")
 def _(spark, d):
     docs, vocabulary = table(spark, d, "documents"), tokenizer("byte_bpe_50k.json")
-    coded = lexicon.encode(docs, vocabulary, lexicon.compile_lexicon(docs, vocabulary))
-    return lexicon.decode(coded, vocabulary).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.encode(F.concat_ws(",", F.col("ids").cast("array<string>")), "UTF-8"), 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
+    coded = lexicon.encode(docs, vocabulary, lexicon.compile_lexicon(docs, vocabulary), texts_back=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.encode(F.concat_ws(",", F.col("ids").cast("array<string>")), "UTF-8"), 256).alias("ids_sha256"), F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
 @query("op8_token_counts")
