@@ -49,10 +49,15 @@ def sigmoid(c: Column) -> Column:
     return 1.0 / (1.0 + F.exp(-c))
 
 
-def order_hash(id_col, seed: int = 42, modulus: int = 1_000_003) -> Column:
-    """Integer hash used wherever a reproducible random order is needed; same in every engine."""
+def order_hash(id_col, seed: int = 42, use: str = "split") -> Column:
+    """Hex digest of seed, use and id: a reproducible random order that every engine can compute. Each seed and each use gives another order."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.pmod(c.cast("bigint") % F.lit(modulus) * F.lit(7919) + F.lit(seed), F.lit(modulus))
+    return F.md5(F.concat(F.lit(f"{seed}:{use}:"), c.cast("string")))
+
+
+def hash_number(id_col, seed: int = 42, use: str = "split", digits: int = 13) -> Column:
+    """The leading hex digits of the order as an integer (52 bits by default)."""
+    return F.conv(F.substring(order_hash(id_col, seed, use), 1, digits), 16, 10).cast("bigint")
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -6,13 +6,14 @@ starting offset, and windows only run inside a bucket. Any cut is correct; a goo
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.semantics import order_hash
+from ..functions.semantics import hash_number, order_hash
 
-HASH_MODULUS = 1_000_003
-MAX_CUTS = 2_000  # keeps the quantile sketch and the cut list small
+PREFIX = 3  # hex digits of the hash order that are counted to find a cut
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -22,7 +23,7 @@ def bucket_count(df: DataFrame) -> int:
 
 def with_bucket(df: DataFrame, col: str, name: str = "_bucket") -> DataFrame:
     """Ordered bucket number of a numeric column, from approximate quantiles of that column."""
-    n = min(bucket_count(df), MAX_CUTS)
+    n = bucket_count(df)
     cuts = df.approxQuantile(col, [i / n for i in range(1, n)], 0.5 / n)
     cuts = sorted({float(c) for c in cuts})
     if not cuts:
@@ -47,14 +48,20 @@ def running_totals(df: DataFrame, order_by: list[Column], sums: dict[str, str],
                            *[F.sum(f"_t_{name}").over(W.partitionBy(*by)).alias(name) for name in totals])
     local = W.partitionBy(*by, bucket).orderBy(*order_by).rowsBetween(W.unboundedPreceding, W.currentRow)
     out = df.select("*", *[F.sum(src).over(local).alias(f"_l_{name}") for name, src in sums.items()])
-    # same keys as the window above: the rows are already partitioned for this join
-    joined = out.join(offsets, [*by, bucket])
+    # same keys as the window above: the rows are already partitioned for this join; a null group is a group like any other
+    named = offsets.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, bucket)], *[f"_o_{n}" for n in sums], *totals)
+    joined = out.join(named, same_keys(out, named, [*by, bucket]))
     return joined.select(*df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums], *totals).drop(bucket)
 
 
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
+    """Null-safe equality of the keys with their copies (prefix _k_) on the right."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_k_{c}"]) for c in keys])
+
+
 def value_counts(df: DataFrame, col: str, by: list[str] = (), **sums: str) -> DataFrame:
-    """One row per distinct value: ties and hot values collapse before anything is ordered."""
-    return df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(
+    """One row per distinct value: ties and hot values collapse before anything is ordered. NaN counts as missing, like null."""
+    return df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).groupBy(*by, col).agg(
         F.count("*").alias("n"), *[F.sum(src).alias(name) for name, src in sums.items()])
 
 
@@ -76,11 +83,29 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[s
 def hash_rank(df: DataFrame, id_col: str, by: list[str] = (), seed: int = 42, name: str = "rank", size: str = "group_size") -> DataFrame:
     """1-based rank of every row per group, and the group size, in a reproducible random order; independent of partitioning."""
     n = bucket_count(df)
-    h = order_hash(id_col, seed, HASH_MODULUS)
-    cut = df.withColumn("_h", h).withColumn("_bucket", F.floor(F.col("_h") * n / HASH_MODULUS)).withColumn("_one", F.lit(1))
+    cut = df.withColumn("_h", order_hash(id_col, seed)).withColumn("_bucket", F.floor(hash_number(id_col, seed, digits=8) * n / 2 ** 32)).withColumn("_one", F.lit(1))
     return running_totals(cut, [F.col("_h"), F.col(id_col)], {name: "_one"}, by, {size: "_one"}).drop("_h", "_one")
 
 
+def hash_cuts(df: DataFrame, id_col: str, by: list[str], positions: list[Column], seed: int = 42) -> DataFrame:
+    """Per group the place in the hash order of the ids at each of ``positions`` (columns over ``_size``, the group's size; 0 gives null).
+
+    (by..., cut_0, cut_1, ...) with a cut as struct (hash, id). Only counts of hash prefixes are gathered, then the rows of the one prefix in which a position falls
+    are ranked, so no row of ``df`` is moved but a few ids.
+    """
+    by = list(by)
+    keyed = df.select(*by, F.col(id_col).alias("_id"), order_hash(id_col, seed).alias("_h")).withColumn("_p", F.substring("_h", 1, PREFIX))
+    cells = keyed.groupBy(*by, "_p").agg(F.count("*").alias("_n"))
+    # at most 16 ** PREFIX cells of each group
+    upto = W.partitionBy(*by).orderBy("_p").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cells = cells.select("*", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(W.partitionBy(*by)).alias("_size"))
+    wanted = cells.select("*", F.posexplode(F.array(*[p.cast("bigint") for p in positions])).alias("_cut", "_pos")).filter("_pos > _upto - _n AND _pos <= _upto")
+    wanted = wanted.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, "_p")], "_cut", (F.col("_pos") - F.col("_upto") + F.col("_n")).alias("_at"))
+    near = keyed.join(wanted, same_keys(keyed, wanted, [*by, "_p"]))
+    ranked = near.withColumn("_rank", F.row_number().over(W.partitionBy(*by, "_cut").orderBy("_h", "_id"))).filter("_rank = _at")
+    return ranked.groupBy(*by).agg(*[F.max(F.when(F.col("_cut") == i, F.struct("_h", "_id"))).alias(f"cut_{i}") for i in range(len(positions))])
+
+
 def dense_index(df: DataFrame, id_col: str, by: list[str] = (), name: str = "idx") -> DataFrame:
     """0-based position of every row in id order (ids unique within the group)."""
     cut = with_bucket(df, id_col).withColumn("_one", F.lit(1))

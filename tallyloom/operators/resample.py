@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.semantics import count_true, order_hash
+from ..functions.semantics import count_true, hash_number
 from ..session import materialize
 from .nearest import k_neighbours
 from .ordered import dense_index
@@ -31,8 +31,8 @@ def oversample(train: DataFrame, id_col: str, columns: list[str], label: str = "
     indexed = dense_index(minority, id_col, name="_idx")
     near = neighbours(minority, id_col, columns, k)
     s = train.sparkSession.range(n_new).select(
-        F.col("id").alias("_s"), (F.col("id") % n_min).alias("_idx"), (order_hash("id", seed) % k + 1).cast("int").alias("rank"),
-        (order_hash(F.col("id") + 500_009, seed + 1) / 1_000_003.0).alias("_u"))
+        F.col("id").alias("_s"), (F.col("id") % n_min).alias("_idx"), (hash_number("id", seed, "neighbour") % k + 1).cast("int").alias("rank"),
+        (hash_number("id", seed, "position") / float(16 ** 13)).alias("_u"))
     other = minority.select(F.col(id_col).alias("neighbour"), *[F.col(c).alias(f"_b_{c}") for c in columns])
     made = s.join(indexed, "_idx").join(near.select(id_col, "neighbour", "rank"), [id_col, "rank"]).join(other, "neighbour")
     new_rows = made.select((-F.col("_s") - 1).alias(id_col), *[(F.col(c) + F.col("_u") * (F.col(f"_b_{c}") - F.col(c))).alias(c) for c in columns],

@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.semantics import count_true, order_hash
-from .ordered import hash_rank
+from .ordered import hash_cuts, same_keys
+
+
+def beside_cuts(df: DataFrame, id_col: str, by: list[str], positions: list, seed: int, parts: Column) -> DataFrame:
+    """``df`` with a column ``_part``: ``parts`` over the row's place (``_here``) and its group's cuts. Groups are few, so Spark can send the cuts to the rows."""
+    cuts = hash_cuts(df, id_col, by, positions, seed)
+    cuts = cuts.select(*[F.col(c).alias(f"_k_{c}") for c in by], *[f"cut_{i}" for i in range(len(positions))])
+    rows = df.withColumn("_here", F.struct(order_hash(id_col, seed).alias("_h"), F.col(id_col).alias("_id")))
+    return rows.join(cuts, same_keys(rows, cuts, by), "left").select(*df.columns, parts.alias("_part"))
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str = "label", test_share: float = 0.2, seed: int = 42,
                      names: tuple[str, str] = ("train", "test")) -> DataFrame:
-    """Per class exactly round(share * n) rows go to the second part, chosen by a hash order of the ids."""
-    ranked = hash_rank(df, id_col, [label], seed, "_rank", "_size")
-    take = F.round(F.col("_size") * F.lit(test_share))
-    return ranked.withColumn("split", F.when(F.col("_rank") <= take, names[1]).otherwise(names[0])).drop("_rank", "_size")
+    """Per class, null included, exactly round(share * n) rows go to the second part: those that come first in a hash order of the ids."""
+    first = F.col("_here") <= F.col("cut_0")
+    out = beside_cuts(df, id_col, [label], [F.round(F.col("_size") * F.lit(test_share))], seed, F.coalesce(first, F.lit(False)))
+    return out.withColumn("split", F.when(F.col("_part"), names[1]).otherwise(names[0])).drop("_part")
 
 
 def stratified_folds(df: DataFrame, id_col: str, label: str = "label", k: int = 5, seed: int = 42) -> DataFrame:
-    ranked = hash_rank(df, id_col, [label], seed, "_rank", "_size")
-    return ranked.withColumn("fold", ((F.col("_rank") - 1) % k).cast("int")).drop("_rank", "_size")
+    """Folds of equal size per class, to one row: consecutive parts of a hash order of the ids."""
+    positions = [F.floor(F.col("_size") * i / k) for i in range(1, k)]
+    after = sum((F.coalesce(F.col("_here") > F.col(f"cut_{i}"), F.lit(True)).cast("int") for i in range(k - 1)), F.lit(0))
+    return beside_cuts(df, id_col, [label], positions, seed, after).withColumnRenamed("_part", "fold")
 
 
 def fixed_sample(df: DataFrame, id_col: str, n: int = 2000, seed: int = 42) -> DataFrame:
-    """The n rows that come first in the hash order (a top-k, no full sort)."""
-    return df.orderBy(order_hash(id_col, seed), id_col).limit(n)
+    """The n rows that come first in a hash order of its own (a top-k, no full sort)."""
+    return df.orderBy(order_hash(id_col, seed, "sample"), id_col).limit(n)
 
 
 def class_balance(df: DataFrame, label: str = "label", amount: str = "amount") -> DataFrame:

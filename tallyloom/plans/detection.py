@@ -11,7 +11,7 @@ from . import views as V
 from .registry import Registry, r, rounded
 
 FEATURES = ["time_s", *V.V_FEATURES, "amount"]
-HASH = "((event_id % 1000003 * 7919 + {seed}) % 1000003)"
+HASH = "md5('{seed}:split:' || event_id)"
 # a fixed linear model, so that attributions can be stated in SQL
 BETA = {"v14": -1.7, "v4": 1.2, "v12": -0.9, "v10": 0.6, "v11": 0.4, "amount": 0.002, "time_s": -1e-7}
 
@@ -63,7 +63,7 @@ EXTRA = {
     "w_contrib": "SELECT event_id, label, " + ", ".join(f"{b!r}::DOUBLE*({c}-avg({c}) OVER ()) AS k_{c}, {c}" for c, b in BETA.items()) + " FROM v_card",
     "w_long": " UNION ALL ".join(f"SELECT event_id, label, '{c}' AS feature, {c} AS value, k_{c} AS contribution FROM w_contrib" for c in BETA),
     "w_margin": "SELECT event_id, label, " + "+".join(f"k_{c}" for c in BETA) + " AS margin FROM w_contrib",
-    "w_sample": f"SELECT event_id FROM v_card ORDER BY {HASH.format(seed=42)}, event_id LIMIT 2000",
+    "w_sample": "SELECT event_id FROM v_card ORDER BY md5('42:sample:' || event_id), event_id LIMIT 2000",
     "w_top": """SELECT event_id FROM w_margin WHERE label=1 ORDER BY round(margin,9) DESC, event_id LIMIT 1""",
 }
 reg = Registry(EXTRA)
@@ -92,7 +92,7 @@ def _(s, d):
     return card_split(s, d).select("event_id", "label", "split")
 
 
-@query("p10_stratified_folds", "SELECT event_id, label, ((rk-1)%5)::INT AS fold FROM w_rank")
+@query("p10_stratified_folds", "SELECT event_id, label, ((rk>n//5)::INT + (rk>n*2//5)::INT + (rk>n*3//5)::INT + (rk>n*4//5)::INT)::INT AS fold FROM w_rank")
 def _(s, d):
     return P.stratified_folds(V.card(s, d), "event_id").select("event_id", "label", "fold")
 

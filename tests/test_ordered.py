@@ -133,3 +133,32 @@ def test_neighbours_are_exact_in_both_forms(spark, block):
     for i in range(len(x)):
         want = sorted((j for j in range(len(x)) if j != i), key=lambda j: (dist[i, j], j))[:3]
         assert [r.neighbour for r in got if r.id == i] == want
+
+
+def test_split_keeps_rows_without_label_and_depends_on_the_seed(spark):
+    from tallyloom.operators import splits as P
+
+    df = spark.range(3000).select("id", F.when(F.col("id") % 10 == 0, None).otherwise((F.col("id") % 3 == 0).cast("int")).alias("label"))
+    parts = {seed: {r.id for r in P.stratified_split(df, "id", seed=seed).filter("split = 'test'").collect()} for seed in (1, 2)}
+    whole = P.stratified_split(df, "id", seed=1)
+    assert whole.count() == 3000
+    sizes = {r.label: (r.n, r.t) for r in whole.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "test").alias("t")).collect()}
+    assert len(sizes) == 3 and all(t == round(n * 0.2) for n, t in sizes.values())
+    assert 60 < len(parts[1] & parts[2]) < 180  # a fifth of the 600 test rows, about
+    sample = {r.id for r in P.fixed_sample(df, "id", 500, seed=1).collect()}
+    assert 60 < len(sample & parts[1]) < 140
+    folds = {(r.label, r.fold): r.n for r in P.stratified_folds(df, "id", seed=1).groupBy("label", "fold").agg(F.count("*").alias("n")).collect()}
+    assert len(folds) == 15 and sum(folds.values()) == 3000
+    for label in (None, 0, 1):
+        n = [folds[label, f] for f in range(5)]
+        assert max(n) - min(n) <= 1
+
+
+def test_groups_and_ranks_keep_null_keys_and_nan_is_missing(spark):
+    rows = [(i, None if i % 4 == 0 else i % 2, float("nan") if i % 5 == 0 else float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, g int, v double")
+    assert O.hash_rank(df, "id", ["g"]).count() == 200
+    got = {r.g: r.m for r in O.exact_quantiles(df, "v", {"m": 0.5}, ["g"]).collect()}
+    import statistics
+    for g in (None, 0, 1):
+        assert got[g] == statistics.median(v for _, k, v in rows if k == g and v == v)
