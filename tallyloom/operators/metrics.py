@@ -1,7 +1,7 @@
-"""Ranking and confusion metrics for scored rows (label, score_e4): exact with ties, one pass over the rows.
+"""Ranking and confusion metrics for scored rows: exact with ties, one pass over the rows.
 
-Scores are integers in 1/10000 units, so a score exactly on a threshold is never a rounding matter.
-Everything starts from one row per distinct score.
+Scores are either integers in 1/10000 units (score_e4), so that a score exactly on a threshold is never a rounding matter, or a model's unrounded
+probabilities. Everything starts from one row per distinct score.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.semantics import count_true
-from .ordered import running_totals
+from .ordered import running_totals, with_bucket
 
 METRICS = ("roc_auc", "avg_precision", "precision", "recall", "f1", "f2", "accuracy")
 
@@ -19,15 +19,18 @@ def score_units(score: Column) -> Column:
     return F.floor(score * 10000 + 1e-9).cast("bigint")
 
 
-def score_groups(scored: DataFrame, by: list[str] = ()) -> DataFrame:
+def score_groups(scored: DataFrame, by: list[str] = (), score: str = "score_e4") -> DataFrame:
     """Positives and negatives per distinct score, with running totals from the highest score down.
 
-    The scale has 10,001 values, so hundredths of the scale are ready-made, evenly sized buckets.
+    The scale of score_e4 has 10,001 values, so hundredths of it are ready-made, evenly sized buckets; other scores get ordered buckets of their own.
     """
     by = list(by)
-    g = scored.groupBy(*by, "score_e4").agg(count_true(F.col("label") == 1).alias("pos"), count_true(F.col("label") == 0).alias("neg"))
-    g = g.withColumn("_bucket", -F.floor(F.col("score_e4") / 100))
-    return running_totals(g, [F.col("score_e4").desc()], {"tp": "pos", "fp": "neg"}, by)
+    g = scored.groupBy(*by, score).agg(count_true(F.col("label") == 1).alias("pos"), count_true(F.col("label") == 0).alias("neg"))
+    if score == "score_e4":
+        g = g.withColumn("_bucket", -F.floor(F.col(score) / 100))
+    else:
+        g = with_bucket(g.withColumn("_down", -F.col(score)), "_down").drop("_down")
+    return running_totals(g, [F.col(score).desc()], {"tp": "pos", "fp": "neg"}, by)
 
 
 def f_beta(tp: Column, fp: Column, fn: Column, beta: float) -> Column:
@@ -41,12 +44,12 @@ def over(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0)).cast("double")
 
 
-def metric_suite(scored: DataFrame, threshold_e4: int = 5000, by: list[str] = ()) -> DataFrame:
-    """ROC-AUC with mid-ranks for ties, step-sum average precision, and the metrics at a threshold."""
+def metric_suite(scored: DataFrame, threshold: float = 5000, by: list[str] = (), score: str = "score_e4") -> DataFrame:
+    """ROC-AUC with mid-ranks for ties, step-sum average precision, and the metrics at a threshold on the score's own scale."""
     by = list(by)
-    g = score_groups(scored, by)
+    g = score_groups(scored, by, score)
     p, n = F.sum("pos"), F.sum("neg")
-    hit = F.col("score_e4") >= threshold_e4
+    hit = F.col(score) >= threshold
     tp, fp = F.coalesce(F.sum(F.when(hit, F.col("pos"))), F.lit(0)), F.coalesce(F.sum(F.when(hit, F.col("neg"))), F.lit(0))
     # positives before half of the tied negatives: counted as wins of each negative's rank
     wins = F.sum(F.col("neg") * (F.col("tp") - F.col("pos")) + F.col("neg") * F.col("pos") * 0.5)

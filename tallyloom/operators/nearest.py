@@ -1,7 +1,7 @@
 """Exact nearest neighbours and inner-product search: matrix products inside tasks, only top-k rows leave a task.
 
-One side is broadcast only when it has at most BLOCK_ROWS rows. Above that both sides are cut into
-hash-balanced blocks and every pair of blocks is one task-sized group; the result is exact either way.
+Both sides are cut into hash-balanced blocks of at most about BLOCK_ROWS rows and every pair of blocks is one task-sized group, whatever the sizes. Nothing
+passes the driver but two counts. Work is the product of the two sides; the approximate search is there for large ones.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 8_192
 
 
 def _matrix(pdf: pd.DataFrame, vec: str) -> np.ndarray:
@@ -28,14 +28,24 @@ def _closeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return -np.maximum((a ** 2).sum(1)[:, None] - 2 * a @ b.T + (b ** 2).sum(1)[None, :], 0.0)
 
 
+def _ids(values) -> np.ndarray:
+    """Ids as an array that sorts by value: whole numbers, or text."""
+    out = np.asarray(values)
+    return np.asarray(values.tolist(), dtype=str) if out.dtype == object else out
+
+
 def _best(qid, qmat, ids, mat, k, digits, score, skip_self):
-    """k best (score, id) per query row, lower id first on ties."""
+    """k best (score, id) per query row, lower id first on ties. Only the candidates at or above the k-th score are sorted."""
     s = np.round(score(qmat, mat), digits)
     if skip_self:
         s[qid[:, None] == ids[None, :]] = -np.inf
-    i = np.broadcast_to(ids, s.shape)
-    o = np.lexsort((i, -s), axis=1)[:, :k]
-    return np.take_along_axis(s, o, 1), np.take_along_axis(i, o, 1)
+    if s.shape[1] > k:
+        edge = np.partition(s, -k, axis=1)[:, -k]
+        near = [np.flatnonzero(row >= low) for row, low in zip(s, edge)]
+        o = np.stack([c[np.lexsort((ids[c], -row[c]))[:k]] for row, c in zip(s, near)])
+    else:
+        o = np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)
+    return np.take_along_axis(s, o, 1), ids[o]
 
 
 def _frame(names, qid, s, i):
@@ -47,26 +57,9 @@ def _frame(names, qid, s, i):
 def _pairs(queries, corpus, qid_col, id_col, vec, out_id, k, digits, score, skip_self, block_rows) -> DataFrame:
     """Candidate rows (query, id, score): at least the exact top k of every query."""
     names = (qid_col, out_id)
-    schema = f"{qid_col} bigint, {out_id} bigint, score double"
-    nq = queries.count()
-    if nq <= block_rows:  # proven small: queries go to every task, the corpus streams without a shuffle
-        q = queries.select(qid_col, vec).toPandas()
-        qid, qmat = q[qid_col].to_numpy(), _matrix(q, vec)
-
-        def stream(batches):
-            bs, bi = np.empty((len(qid), 0)), np.empty((len(qid), 0), dtype=np.int64)
-            for pdf in batches:
-                for a in range(0, len(pdf), 1024):
-                    part = pdf.iloc[a:a + 1024]
-                    s, i = _best(qid, qmat, part[id_col].to_numpy(), _matrix(part, vec), k, digits, score, skip_self)
-                    s, i = np.hstack([bs, s]), np.hstack([bi, i])
-                    o = np.lexsort((i, -s), axis=1)[:, :k]
-                    bs, bi = np.take_along_axis(s, o, 1), np.take_along_axis(i, o, 1)
-            if bs.shape[1]:
-                yield _frame(names, qid, bs, bi)
-
-        return corpus.select(id_col, vec).mapInPandas(stream, schema) if nq else corpus.sparkSession.createDataFrame([], schema)
-    np_, nb = math.ceil(nq / block_rows), math.ceil(corpus.count() / block_rows)
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    schema = f"{qid_col} {kind(queries, qid_col)}, {out_id} {kind(corpus, id_col)}, score double"
+    np_, nb = max(1, math.ceil(queries.count() / block_rows)), max(1, math.ceil(corpus.count() / block_rows))
     left = queries.select(F.col(qid_col).alias("_q"), F.col(vec).alias("_v"), F.pmod(F.xxhash64(qid_col), F.lit(np_)).alias("_p"),
                           F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_b"))
     right = corpus.select(F.col(id_col).alias("_i"), F.col(vec).alias("_v"), F.pmod(F.xxhash64(id_col), F.lit(nb)).cast("int").alias("_b"),
@@ -75,10 +68,10 @@ def _pairs(queries, corpus, qid_col, id_col, vec, out_id, k, digits, score, skip
     def cell(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         if not len(lp) or not len(rp):
             return pd.DataFrame({names[0]: [], names[1]: [], "score": []})
-        parts, ids, mat = [], rp["_i"].to_numpy(), _matrix(rp, "_v")
+        parts, ids, mat = [], _ids(rp["_i"].to_numpy()), _matrix(rp, "_v")
         for a in range(0, len(lp), 512):
             p = lp.iloc[a:a + 512]
-            q = p["_q"].to_numpy()
+            q = _ids(p["_q"].to_numpy())
             parts.append(_frame(names, q, *_best(q, _matrix(p, "_v"), ids, mat, k, digits, score, skip_self)))
         return pd.concat(parts)
 

@@ -32,8 +32,8 @@ EXTRA = {
     **sales.EXTRA,
     "w_class0": f"SELECT *, CASE WHEN NOT {_hard} THEN {_metric} END AS metric FROM v_questions",
     "w_class": "SELECT *, CASE WHEN metric IS NULL THEN 'rag' ELSE 'direct' END AS query_type FROM w_class0",
-    "w_got": """SELECT id, 1 AS rank, 'reply_' || conv_id AS doc_name, 'reply_' || conv_id || '_chunk_' || lpad((turn-1)::VARCHAR,3,'0') AS chunk_id, 0.75::DOUBLE AS similarity, context AS text FROM v_answers WHERE context IS NOT NULL
-        UNION ALL SELECT id, CASE WHEN context IS NULL THEN 1 ELSE 2 END, 'asked_' || conv_id, 'asked_' || conv_id || '_chunk_' || lpad(turn::VARCHAR,3,'0'), 0.5::DOUBLE, question FROM v_answers""",
+    "w_got": """SELECT id, 1 AS rank, 'reply_' || conv_id AS doc_name, 'reply_' || conv_id || '_chunk_' || printf('%03d', turn-1) AS chunk_id, 0.75::DOUBLE AS similarity, context AS text FROM v_answers WHERE context IS NOT NULL
+        UNION ALL SELECT id, CASE WHEN context IS NULL THEN 1 ELSE 2 END, 'asked_' || conv_id, 'asked_' || conv_id || '_chunk_' || printf('%03d', turn), 0.5::DOUBLE, question FROM v_answers""",
     "w_ctx": "SELECT *, CASE WHEN context IS NULL THEN question ELSE context || ' ' || question END AS ctx, CASE WHEN context IS NULL THEN ['asked_' || conv_id] ELSE ['reply_' || conv_id, 'asked_' || conv_id] END AS retrieved_docs, "
              "CASE WHEN conv_id % 3 = 0 THEN []::VARCHAR[] ELSE ['reply_' || conv_id, 'asked_' || (conv_id + conv_id % 2)] END AS relevant_docs FROM v_answers",
     "w_tok": f"SELECT *, {toks('answer')} AS ans_t, {toks('question')} AS q_t, {toks('ctx')} AS c_t FROM w_ctx",
@@ -76,7 +76,7 @@ def retrieved(s, d):
     a = V.answers(s, d)
     chunk = lambda kind, turn, sim, text: F.struct(
         F.concat(F.lit(kind), "conv_id").alias("doc_name"),
-        F.concat(F.lit(kind), "conv_id", F.lit("_chunk_"), F.lpad(turn.cast("string"), 3, "0")).alias("chunk_id"), F.lit(sim).alias("similarity"), F.col(text).alias("text"))
+        F.concat(F.lit(kind), "conv_id", F.lit("_chunk_"), F.format_string("%03d", turn)).alias("chunk_id"), F.lit(sim).alias("similarity"), F.col(text).alias("text"))
     both_ = F.array_compact(F.array(F.when(F.col("context").isNotNull(), chunk("reply_", F.col("turn") - 1, 0.75, "context")), chunk("asked_", F.col("turn"), 0.5, "question")))
     x = a.select("id", F.posexplode(both_).alias("p", "c"))
     return x.select("id", (F.col("p") + 1).alias("rank"), "c.doc_name", "c.chunk_id", "c.similarity", "c.text")
@@ -234,9 +234,9 @@ def _(s, d):
 @query("x03_question_to_answer")
 def _(s, d):
     """Question to answer over the documents: vectors, top-5 search, best sentence."""
-    chunks = K.sliding_chunks(docs(s, d), "doc_id", F.col("text")).withColumn("vec_id", F.col("doc_id") * 10_000 + F.col("chunk_no"))
+    chunks = K.sliding_chunks(docs(s, d), "doc_id", F.col("text")).withColumn("vec_id", F.format_string("%d_%d", "doc_id", "chunk_no"))
     vec, model = R.text_vectors(chunks, "vec_id", "text")
-    q = V.questions(s, d).withColumn("query_id", F.col("conv_id") * 100 + F.col("turn"))
+    q = V.questions(s, d).withColumn("query_id", F.format_string("%d_%d", "conv_id", "turn"))
     qv, _m = R.text_vectors(q, "query_id", "question", fitted=model)
     hits = N.top_k_search(qv, vec, 5).filter("rank = 1").join(chunks.select("vec_id", "text", "doc_id"), "vec_id")
     x = q.select("query_id", "question").join(hits.withColumn("doc_name", F.col("doc_id").cast("string")), "query_id", "left")

@@ -215,7 +215,9 @@ def _(s, d):
 def _(s, d):
     train, test = train_test(s, d)
     up = R.oversample(train, "event_id", FEATURES, target_ratio=0.2)
-    return R.leakage_checks(up, test, test, FEATURES, "event_id")
+    # what the test rows must be: the source without the training rows
+    source = V.card(s, d).join(train.select("event_id"), "event_id", "left_anti")
+    return R.leakage_checks(up, test, source, FEATURES, "event_id")
 
 
 # --- ranking metrics ---

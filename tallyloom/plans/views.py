@@ -177,7 +177,7 @@ def answers(spark, d) -> DataFrame:
     prev = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") + 1).alias("turn"),
                                                         F.col("text").alias("context"))
     words = F.split(F.regexp_replace("question", r"[^\p{L} ]", ""), " +")
-    key = F.col("conv_id") * 100 + F.col("turn")
+    key = F.format_string("%d_%d", "conv_id", "turn")
     return (ask.join(ans, ["conv_id", "turn"], "left").join(prev, ["conv_id", "turn"], "left")
             .select(key.alias("id"), "conv_id", "turn", "question", F.coalesce("answer", F.lit("")).alias("answer"), "context",
                     F.slice(F.filter(words, lambda w: F.length(w) > 1), 1, 3).alias("expected_keywords"),
@@ -233,7 +233,7 @@ VIEW_SQL = {
     "v_questions": "SELECT conv_id, turn, ([" + ", ".join("'" + s.replace("'", "''") + "'" for s in QUESTION_STEMS)
       + f"])[((conv_id*3+turn) % {len(QUESTION_STEMS)} + 1)::INT] || ' ' || text AS question "
       + "FROM conversations WHERE role='user'",
-    "v_answers": """SELECT a.conv_id*100+a.turn AS id, a.conv_id, a.turn, a.text AS question, coalesce(b.text,'') AS answer,
+    "v_answers": """SELECT a.conv_id || '_' || a.turn AS id, a.conv_id, a.turn, a.text AS question, coalesce(b.text,'') AS answer,
       p.text AS context,
       list_filter(string_split_regex(regexp_replace(a.text,'[^\\p{L} ]','','g'), ' +'), lambda w: length(w)>1)[1:3]
         AS expected_keywords,
