@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,19 +26,23 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
     return b.getOrCreate()
 
 
+_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can read: spark.checkpoint.dir, or a local one in local mode."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = _local_dir()
-    return base
-
-
-@lru_cache(maxsize=1)
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="tallyloom-")
+    """This application's folder below spark.checkpoint.dir, or below the warehouse where that is unset: both are shared by all executors.
+
+    It is made once and removed by its file system when the application ends.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/tallyloom-{app}")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _FOLDERS[app] = files.makeQualified(path).toString()
+    return _FOLDERS[app]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -10,10 +10,10 @@ DATA = os.environ.get("TEST_DATA", "/root/testdata")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tallyloom.session import build_session
 
-    s = build_session("tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    s = build_session("tests", "local[8]", **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -142,13 +142,9 @@ def test_clock_time_survives_any_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_working_folder_comes_from_the_session():
-    from types import SimpleNamespace
+def test_working_folder_is_the_one_the_session_names(spark):
+    from tallyloom.session import fresh_path, materialize, shared_dir
 
-    from tallyloom.session import shared_dir
-
-    fake = lambda master, value: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: value), sparkContext=SimpleNamespace(master=master))
-    assert shared_dir(fake("yarn", "hdfs:///work")) == "hdfs:///work"
-    assert shared_dir(fake("local[2]", None)) == shared_dir(fake("local[2]", None))
-    with pytest.raises(ValueError):
-        shared_dir(fake("yarn", None))
+    assert spark.conf.get("spark.checkpoint.dir") in shared_dir(spark) and fresh_path(spark, "x") != fresh_path(spark, "x")
+    assert materialize(spark.range(3), "three").count() == 3
+    assert any("three" in f for f in materialize(spark.range(3), "three").inputFiles())
