@@ -1,13 +1,12 @@
 """Fitting the purchase and spend models: candidates are data, likelihood sums run as Spark jobs.
 
-Customers with the same (frequency, recency, age) collapse to one weighted row. Each round sends a small
-grid of parameter sets to the tasks, gets one likelihood sum per set back, and zooms in around the best.
+Customers with the same (frequency, recency, age) collapse to one weighted row. Each round sends a few
+parameter sets to the tasks, gets one likelihood sum per set back, and takes a Newton step.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -55,48 +54,88 @@ def likelihood_sums(table: DataFrame, ll, candidates: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class _Search:
-    """Zoom state of one penalty: centre and width per parameter group, all in log space."""
-    centre: np.ndarray
-    widths: list[float]
+class Fit:
+    """A point in log space with what is known about it."""
+    at: np.ndarray
     penalty: float
     value: float = float("inf")
+    gradient: float = float("inf")  # largest component that a bound does not hold back
+    bounds: tuple[int, ...] = ()    # parameters that a bound holds
+    rounds: int = 0
+    converged: bool = False
 
-    def grid(self, group: tuple[int, ...], width: float, points: int) -> np.ndarray:
-        steps = np.linspace(-width, width, points)
-        out = np.repeat(self.centre[None, :], points ** len(group), axis=0)
-        out[:, group] += np.array(list(product(steps, repeat=len(group))))
-        return out
+    @property
+    def params(self) -> np.ndarray:
+        return np.exp(self.at)
+
+
+STEP = 1e-3                                  # of the differences, in log space
+LENGTHS = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01, 0.001, 2.0, 4.0)
+LOG_BOUNDS = (np.log(FLOOR), np.log(1e9))
+
+
+def stencil(at: np.ndarray) -> np.ndarray:
+    """The point, its neighbours along each axis, and along each diagonal of two axes."""
+    k, eye = len(at), np.eye(len(at)) * STEP
+    points = [at] + [at + s * eye[i] for i in range(k) for s in (1, -1)]
+    points += [at + s * eye[i] + u * eye[j] for i in range(k) for j in range(i) for s in (1, -1) for u in (1, -1)]
+    return np.array(points)
+
+
+def slopes(values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and curvature from the values at a stencil."""
+    up, down = values[1:2 * k + 1:2], values[2:2 * k + 1:2]
+    curve = np.diag((up - 2 * values[0] + down) / STEP ** 2)
+    n = 2 * k + 1
+    for i in range(k):
+        for j in range(i):
+            pp, pm, mp, mm = values[n:n + 4]
+            curve[i, j] = curve[j, i] = (pp - pm - mp + mm) / (4 * STEP ** 2)
+            n += 4
+    return (up - down) / (2 * STEP), curve
 
-    def move(self, group, gi, grid, objective, points) -> None:
-        best = int(np.argmin(objective))
-        at = np.unravel_index(best, (points,) * len(group))
-        edge = any(k in (0, points - 1) for k in at)
-        centre = all(k == points // 2 for k in at)
-        self.centre, self.value = grid[best], float(objective[best])
-        if centre:
-            self.widths[gi] *= 0.35
-        elif not edge:
-            self.widths[gi] *= 0.6
 
+def minimise(table: DataFrame, ll, start: list[float], penalties=(0.0,), tol: float = 1e-6, max_rounds: int = 40) -> list[Fit]:
+    """Minimise -mean(LL) + penalty * sum(param^2) for several penalties at once by Newton steps in the parameters' logarithms.
 
-def zoom(table: DataFrame, ll, start: list[float], groups: list[tuple[int, ...]], points: list[int], penalties=(0.0,), tol: float = 1e-3, max_rounds: int = 60) -> list[_Search]:
-    """Minimise -mean(LL) + penalty * sum(param^2) for several penalties at once, one job per round."""
+    A round is two jobs: the sums at a stencil around each point give gradient and curvature, the sums along the step pick its length. Only the sums reach the
+    driver. A fit has converged when no component of the gradient that points into the allowed range is larger than ``tol``.
+    """
     n = table.agg(F.sum("w")).first()[0]
-    searches = [_Search(np.log(np.array(start, float)), [2.0] * len(groups), p) for p in penalties]
-    for i in range(max_rounds):
-        gi = i % len(groups)
-        live = [s for s in searches if max(s.widths) > tol]
+    fits = [Fit(np.log(np.array(start, float)), p) for p in penalties]
+
+    def objective(live: list[Fit], grids: list[np.ndarray]) -> list[np.ndarray]:
+        th = np.exp(np.clip(np.vstack(grids), *LOG_BOUNDS))
+        sums, out, a = -likelihood_sums(table, ll, th) / n, [], 0
+        for fit, grid in zip(live, grids):
+            v = sums[a:a + len(grid)] + fit.penalty * (th[a:a + len(grid)] ** 2).sum(1)
+            out.append(np.where(np.isfinite(v), v, np.inf))
+            a += len(grid)
+        return out
+
+    for _ in range(max_rounds):
+        live = [f for f in fits if not f.converged]
         if not live:
             break
-        grids = [np.maximum(s.grid(groups[gi], s.widths[gi], points[gi]), np.log(FLOOR)) for s in live]
-        th = np.exp(np.vstack(grids))
-        obj = -likelihood_sums(table, ll, th) / n
-        size = len(grids[0])
-        for j, s in enumerate(live):
-            o = obj[j * size:(j + 1) * size] + s.penalty * (th[j * size:(j + 1) * size] ** 2).sum(1)
-            s.move(groups[gi], gi, grids[j], np.where(np.isfinite(o), o, np.inf), points[gi])
-    return searches
+        steps = []
+        for fit, values in zip(live, objective(live, [stencil(f.at) for f in live])):
+            gradient, curve = slopes(values, len(fit.at))
+            held = ((fit.at <= LOG_BOUNDS[0] + STEP) & (gradient > 0)) | ((fit.at >= LOG_BOUNDS[1] - STEP) & (gradient < 0))
+            fit.value, fit.bounds, fit.rounds = float(values[0]), tuple(np.flatnonzero(held)), fit.rounds + 1
+            fit.gradient = float(np.abs(np.where(held, 0, gradient)).max(initial=0))
+            fit.converged = fit.gradient <= tol
+            # uphill curvature is turned over, and no step is longer than a factor of e squared
+            free, step = np.flatnonzero(~held), np.zeros(len(fit.at))
+            size, axes = np.linalg.eigh(curve[np.ix_(free, free)])
+            step[free] = -axes @ ((axes.T @ gradient[free]) / np.maximum(np.abs(size), 1e-8))
+            steps.append(step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12)))
+        moving = [(f, s) for f, s in zip(live, steps) if not f.converged]
+        if not moving:
+            break
+        grids = [np.clip(f.at + np.outer([0.0, *LENGTHS], s), *LOG_BOUNDS) for f, s in moving]
+        for (fit, _s), grid, values in zip(moving, grids, objective([f for f, _s in moving], grids)):
+            fit.at = grid[int(np.argmin(values))]
+    return fits
 
 
 def purchase_table(summary: DataFrame) -> DataFrame:
@@ -110,30 +149,37 @@ def spend_table(repeat_buyers: DataFrame) -> DataFrame:
     return materialize(t, "spend-histories")
 
 
-PURCHASE_GROUPS, PURCHASE_POINTS, PURCHASE_START = [(0, 1), (2, 3)], [7, 7], [1.0, 10.0, 1.0, 2.0]
+PURCHASE_NAMES, PURCHASE_START = ("r", "alpha", "a", "b"), [1.0, 10.0, 1.0, 2.0]
+SPEND_NAMES = ("p", "q", "v")
+
+
+def named(fit: Fit, names: tuple[str, ...]) -> dict:
+    return dict(zip(names, fit.params.tolist()))
+
 
+def fit_purchases(summary: DataFrame, penalty: float = 0.0, tol: float = 1e-6) -> tuple[dict, Fit]:
+    fit = minimise(purchase_table(summary), bgnbd_ll, PURCHASE_START, [penalty], tol)[0]
+    return named(fit, PURCHASE_NAMES), fit
 
-def fit_purchases(summary: DataFrame, penalty: float = 0.0, tol: float = 1e-3) -> tuple[dict, float]:
-    s = zoom(purchase_table(summary), bgnbd_ll, PURCHASE_START, PURCHASE_GROUPS, PURCHASE_POINTS, [penalty], tol)[0]
-    return dict(zip(("r", "alpha", "a", "b"), np.exp(s.centre).tolist())), s.value
 
+def penalty_sweep(summary: DataFrame, penalties=PENALTIES, tol: float = 1e-6) -> DataFrame:
+    """Parameters per penalty; the smallest penalty whose drop-out parameters are both above 0.01 is chosen, else 1.0.
 
-def penalty_sweep(summary: DataFrame, penalties=PENALTIES, tol: float = 1e-2) -> DataFrame:
-    """Parameters per penalty; the smallest penalty whose drop-out parameters are both above 0.01 is chosen, else 1.0."""
-    found = zoom(purchase_table(summary), bgnbd_ll, PURCHASE_START, PURCHASE_GROUPS, PURCHASE_POINTS, list(penalties), tol)
+    ``at_bound`` names the parameters that run into a bound of the search; ``converged`` tells whether the gradient vanished for all others.
+    """
     rows = []
-    for s in found:
-        r, al, a, b = np.exp(s.centre).tolist()
-        rows.append((float(s.penalty), r, al, a, b, a / (a + b), s.value, a > 0.01 and b > 0.01))
-    t = summary.sparkSession.createDataFrame(rows, "coef double, r double, alpha double, a double, b double, dropout_share double, objective double, usable boolean")
+    for f in minimise(purchase_table(summary), bgnbd_ll, PURCHASE_START, list(penalties), tol):
+        r, al, a, b = f.params.tolist()
+        rows.append((float(f.penalty), r, al, a, b, a / (a + b), f.value, a > 0.01 and b > 0.01, f.converged, f.rounds, ",".join(PURCHASE_NAMES[i] for i in f.bounds)))
+    t = summary.sparkSession.createDataFrame(rows, "coef double, r double, alpha double, a double, b double, dropout_share double, objective double, usable boolean, converged boolean, rounds int, at_bound string")
     best = t.agg(F.coalesce(F.min(F.when(F.col("usable"), F.col("coef"))), F.lit(1.0)).alias("c")).scalar()
     return t.withColumn("chosen", F.col("coef") == best)
 
 
-def fit_spend(repeat_buyers: DataFrame, tol: float = 1e-3) -> tuple[dict, float]:
+def fit_spend(repeat_buyers: DataFrame, tol: float = 1e-6) -> tuple[dict, Fit]:
     mean = repeat_buyers.agg(F.avg("monetary_value")).first()[0]
-    s = zoom(spend_table(repeat_buyers), gamma_gamma_ll, [2.0, 4.0, mean], [(0, 1, 2)], [5], [0.0], tol)[0]
-    return dict(zip(("p", "q", "v"), np.exp(s.centre).tolist())), s.value
+    fit = minimise(spend_table(repeat_buyers), gamma_gamma_ll, [2.0, 4.0, mean], [0.0], tol)[0]
+    return named(fit, SPEND_NAMES), fit
 
 
 def log_likelihood(summary: DataFrame, p: dict) -> DataFrame:

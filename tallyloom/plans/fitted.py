@@ -27,8 +27,9 @@ def eligible(s, d):
     return CV.summary(s, d).filter(F.col("T") >= 90)
 
 
-def _params(s, p, value):
-    return s.createDataFrame([(k, float(v)) for k, v in [*p.items(), ("objective", value)]], "parameter string, value double")
+def _params(s, p, fit):
+    rows = [*p.items(), ("objective", fit.value), ("converged", fit.converged), ("rounds", fit.rounds), ("at_bound", len(fit.bounds))]
+    return s.createDataFrame([(k, float(v)) for k, v in rows], "parameter string, value double")
 
 
 @query("c01_fit_purchases")

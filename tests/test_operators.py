@@ -152,7 +152,21 @@ def test_fit_finds_a_stationary_point(spark):
     th = np.array([p[k] for k in ("r", "alpha", "a", "b")])
     near = np.vstack([th * f for f in ([1, 1, 1, 1], [1.05, 1, 1, 1], [0.95, 1, 1, 1], [1, 1.05, 1, 1], [1, 0.95, 1, 1], [1, 1, 1.05, 1], [1, 1, 0.95, 1], [1, 1, 1, 1.05], [1, 1, 1, 0.95])])
     obj = -FT.likelihood_sums(table, FT.bgnbd_ll, near) / n + 0.01 * (near ** 2).sum(1)
-    assert obj.argmin() == 0 and obj[0] == pytest.approx(best)
+    assert obj.argmin() == 0 and obj[0] == pytest.approx(best.value) and best.converged and best.gradient <= 1e-6
+
+
+def test_penalty_sweep_and_spend_fit_converge(spark):
+    rng = np.random.default_rng(6)
+    n = 1200
+    p = rng.beta(1.5, 4, n)
+    x = np.minimum(rng.geometric(p) - 1, rng.poisson(rng.gamma(1.5, 2.0, n))).astype(float)
+    rec = np.where(x > 0, np.floor(364 * (0.2 + 0.7 * rng.random(n))), 0.0)
+    spend = (1 / rng.gamma(6, 1, n)) * rng.gamma(4 * np.maximum(x, 1), 1, n) / np.maximum(x, 1) * 100
+    df = spark.createDataFrame(pd.DataFrame({"customer_id": np.arange(n), "frequency": x, "recency": rec, "T": 364.0, "monetary_value": np.where(x > 0, spend, 0.0)}))
+    sweep = FT.penalty_sweep(df, (0.001, 0.1)).collect()
+    assert all(r.converged for r in sweep) and sum(r.chosen for r in sweep) <= 1 and sweep[0].objective < sweep[1].objective
+    found, fit = FT.fit_spend(df.filter("frequency > 0"))
+    assert fit.converged and not fit.bounds and 2 < found["p"] < 8 and 3 < found["q"] < 12
 
 
 # --- models ---
