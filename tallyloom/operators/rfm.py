@@ -16,9 +16,12 @@ def manual_summary(clean: DataFrame) -> DataFrame:
     """Order totals, then per customer: orders - 1, mean order total, recency and age in elapsed days."""
     per_order = clean.groupBy("customer_id", "invoice_no", "invoice_date").agg(
         F.sum(F.col("quantity") * F.col("unit_price")).alias("order_total"))
-    per = materialize(per_order.groupBy("customer_id").agg(
-        F.min("invoice_date").alias("first_purchase"), F.max("invoice_date").alias("last_purchase"),
-        (F.count_distinct("invoice_no") - 1).alias("frequency"), F.avg("order_total").alias("monetary_value")), "order-summary")
+    # invoices are unique after the next step, so counting rows counts them
+    per_invoice = per_order.groupBy("customer_id", "invoice_no").agg(
+        F.min("invoice_date").alias("lo"), F.max("invoice_date").alias("hi"), F.sum("order_total").alias("s"), F.count("order_total").alias("c"))
+    per = materialize(per_invoice.groupBy("customer_id").agg(
+        F.min("lo").alias("first_purchase"), F.max("hi").alias("last_purchase"),
+        (F.count("invoice_no") - 1).alias("frequency"), (F.sum("s") / F.sum("c")).cast("double").alias("monetary_value")), "order-summary")
     end = per.agg(F.max("last_purchase").alias("m")).scalar()
     return (per.withColumn("_end", end).withColumn("recency_days", floor_days("first_purchase", "last_purchase"))
             .withColumn("T_days", floor_days("first_purchase", "_end")).drop("_end"))

@@ -335,7 +335,7 @@ def wanted(t):
     CASE WHEN T<90 AND (pred_ratio IS NULL OR pred_ratio>3) THEN 'SUSPICIOUS' WHEN pred_ratio>2 OR T<90 THEN 'WATCH' ELSE 'REALISTIC' END AS verdict
     FROM w_ratio JOIN w_wanted USING (customer_id)""")
 def _(s, d):
-    t = scored(s, d)
+    t = scored_table(s, d)
     return r(clv.spot_check(t.join(wanted(t), "customer_id")), hist_rate_week=8, hist_90d=8, pred_ratio=6, population_weight=8)
 
 
@@ -353,7 +353,7 @@ _lookup_sql = """SELECT pos, customer_id, round(w.cltv_90d,4) AS cltv_90d, CASE
 
 
 def lookup(s, d):
-    t = scored(s, d)
+    t = scored_table(s, d)
     first = t.filter(F.col("frequency") > 0).select("customer_id", "cltv_90d", "frequency", "recency")
     return r(clv.lookup_ids(wanted(t), first, t.select("customer_id", "cltv_90d")), cltv_90d=4)
 
@@ -365,14 +365,14 @@ def _(s, d):
 
 @query("j10_ordered_lookup", "SELECT pos, customer_id, tier FROM w_wanted JOIN w_report USING (customer_id)")
 def _(s, d):
-    t = scored(s, d)
+    t = scored_table(s, d)
     return clv.validation_report(t).join(wanted(t), "customer_id").select("pos", "customer_id", "tier").orderBy("pos")
 
 
 @query("u01_union_missing_columns", """SELECT customer_id, frequency, recency, NULL::DOUBLE AS cltv_90d FROM w_rfm WHERE frequency=0
     UNION ALL SELECT customer_id, frequency, NULL, round(cltv_90d,4) FROM w_scored WHERE frequency>0""")
 def _(s, d):
-    t = scored(s, d)
+    t = scored_table(s, d)
     a = t.filter(F.col("frequency") == 0).select("customer_id", "frequency", "recency")
     b = t.filter(F.col("frequency") > 0).select("customer_id", "frequency", F.round("cltv_90d", 4).alias("cltv_90d"))
     return a.unionByName(b, allowMissingColumns=True)

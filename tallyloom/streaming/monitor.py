@@ -15,10 +15,10 @@ from ..session import fresh_path
 MIN_RECALL, MAX_FALSE_ALARM = 0.75, 0.003
 
 
-def event_stream(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
-    """File stream over the matching Parquet files of a folder; the schema comes from a footer, not from a scan."""
+def event_stream(spark: SparkSession, folder: str, glob: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
+    """File stream over the matching Parquet files of a folder; the schema comes from a footer, not from a scan. A backlog is taken in batches of files."""
     schema = spark.read.option("pathGlobFilter", glob).parquet(folder).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", glob).parquet(folder)
+    return spark.readStream.schema(schema).option("pathGlobFilter", glob).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
 def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -30,6 +30,24 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFram
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def run_to_latest(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
+    """Run a bounded stream in update mode and return the latest version of every key, windows that are still open included.
+
+    Each batch is written under its number, so a batch that is repeated after a failure replaces itself.
+    """
+    spark = stream.sparkSession
+    out, state = fresh_path(spark, f"{name}-out"), fresh_path(spark, f"{name}-state")
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/part={batch_id}")
+
+    q = stream.writeStream.foreachBatch(save).option("checkpointLocation", state).outputMode("update").trigger(availableNow=True).start()
+    q.awaitTermination()
+    rest = [c for c in stream.columns if c not in keys]
+    last = spark.read.parquet(out).groupBy(*keys).agg(F.max_by(F.struct(*rest), "_batch").alias("_last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}") for c in stream.columns])
+
+
 def flag(scored: DataFrame, threshold_e4: int) -> DataFrame:
     """Frozen-threshold decision per row; stateless, so it works on streams and tables alike."""
     return scored.withColumn("flagged", F.col("score_e4") >= threshold_e4)
@@ -46,10 +64,15 @@ def weekly_monitor(flagged: DataFrame, delay: str = "1 day") -> DataFrame:
                     ((recall < MIN_RECALL) | (alarm > MAX_FALSE_ALARM)).alias("breach"))
 
 
-def sliding_sum(events: DataFrame, days: int = 30, delay: str = "1 day") -> DataFrame:
-    """Sum over the last ``days`` days, sliding by one day. Days are summed first, so a row is not copied into every window."""
+def daily_sum(events: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Sum and number of events of each day."""
     day = events.withWatermark("ts", delay).groupBy(F.window("ts", "1 day")).agg(F.sum("value").alias("value"), F.count("*").alias("n"))
-    wide = day.groupBy(F.window(F.window_time("window"), f"{days} days", "1 day")).agg(F.sum("value").alias("total"), F.sum("n").alias("events"))
+    return day.select(F.col("window.start").alias("day"), "value", "n")
+
+
+def sliding_sum(days: DataFrame, width: int = 30) -> DataFrame:
+    """Sums over ``width`` days, sliding by one day, from the latest day sums, so that an event is not copied into every window."""
+    wide = days.groupBy(F.window("day", f"{width} days", "1 day")).agg(F.sum("value").alias("total"), F.sum("n").alias("events"))
     return wide.select(F.col("window.end").alias("window_end"), "total", "events")
 
 
@@ -58,16 +81,8 @@ def customer_state(events: DataFrame, name: str = "customer-days") -> DataFrame:
 
     The latest version of a day wins, so a batch that is repeated after a failure changes nothing.
     """
-    spark = events.sparkSession
-    out, state = fresh_path(spark, f"{name}-out"), fresh_path(spark, f"{name}-state")
     days = events.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.sum("value").alias("total"))
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/part={batch_id}")
-
-    q = days.writeStream.foreachBatch(save).option("checkpointLocation", state).outputMode("update").trigger(availableNow=True).start()
-    q.awaitTermination()
-    last = spark.read.parquet(out).groupBy("user_id", "day").agg(F.max_by("total", "batch").alias("total"))
+    last = run_to_latest(days, name, ["user_id", "day"])
     per = last.groupBy("user_id").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), (F.count("*") - 1).alias("frequency"), F.sum("total").alias("total"),
                                       F.min_by("total", "day").alias("_first"))
     return per.select("user_id", "first_day", "last_day", "frequency", F.date_diff("last_day", "first_day").alias("recency"),
@@ -75,5 +90,5 @@ def customer_state(events: DataFrame, name: str = "customer-days") -> DataFrame:
 
 
 def deduplicated(events: DataFrame, key: str = "event_id", delay: str = "2 days") -> DataFrame:
-    """First copy of every transaction within the watermark delay."""
+    """First copy of every transaction; copies may be up to ``delay`` apart. State is bounded by dropping rows that come later than that behind the newest one."""
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark([key])
