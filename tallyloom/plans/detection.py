@@ -396,8 +396,12 @@ def _(s, d):
     return r(A.dependence(A.linear_long(V.card(s, d), BETA, "event_id"), "v14", "event_id"), value=8, contribution=8, correlation=6, clip_lo=8, clip_hi=8)
 
 
-@query("m21_beeswarm", """SELECT event_id, feature, round(contribution,8) AS contribution, round(least(greatest((value-p1)/greatest(p99-p1,1e-9),0),1),6) AS unit FROM w_long JOIN w_sample USING (event_id)
-    JOIN (SELECT feature, quantile_cont(value,0.01) AS p1, quantile_cont(value,0.99) AS p99 FROM w_long JOIN w_sample USING (event_id) GROUP BY feature) q USING (feature)""")
+_each = "unnest([" + ", ".join(f"'{c}'" for c in BETA) + "]) AS feature, unnest([" + ", ".join(BETA) + "]) AS value, unnest([" + ", ".join(f"k_{c}" for c in BETA) + "]) AS contribution"
+
+
+@query("m21_beeswarm", f"""SELECT event_id, feature, round(contribution,8) AS contribution, round(least(greatest((value-p1)/greatest(p99-p1,1e-9),0),1),6) AS unit FROM
+    (SELECT *, quantile_cont(value,0.01) OVER (PARTITION BY feature) AS p1, quantile_cont(value,0.99) OVER (PARTITION BY feature) AS p99 FROM
+      (SELECT event_id, {_each} FROM w_contrib JOIN w_sample USING (event_id)) u) q""")
 def _(s, d):
     return r(A.beeswarm(A.linear_long(V.card(s, d), BETA, "event_id"), 15, "event_id"), contribution=8, unit=6)
 
