@@ -197,9 +197,18 @@ def _(s, d):
     return r(R.neighbours(scaled_train(s, d).filter("label = 1"), "event_id", FEATURES, 5), dist2=6)
 
 
-@query("m02_oversampled_train")
+_d2 = "+".join(f"(a.{c}-b.{c})*(a.{c}-b.{c})" for c in _zcols)
+reg.extra.update({
+    "w_near": f"SELECT a.event_id, b.event_id AS neighbour, row_number() OVER (PARTITION BY a.event_id ORDER BY round({_d2},9), b.event_id) AS rank FROM w_min a JOIN w_min b ON a.event_id<>b.event_id",
+    "w_made": """SELECT s, s % (SELECT count(*) FROM w_min) AS idx, ('0x' || substr(md5('42:neighbour:' || s),1,13))::BIGINT % least(5, (SELECT count(*) FROM w_min)-1) + 1 AS rank,
+        ('0x' || substr(md5('42:position:' || s),1,13))::BIGINT / 4503599627370496::DOUBLE AS u FROM (SELECT unnest(range((SELECT floor(0.2::DOUBLE*count(*) FILTER (label=0))::BIGINT - count(*) FILTER (label=1) FROM w_tr))) AS s) g"""})
+
+
+@query("m02_oversampled_train", f"""SELECT event_id, {', '.join(f"round(({c}-m_{c})/s_{c},6) AS {c}" for c in _zcols)}, label, false AS synthetic FROM w_tr, w_st
+    UNION ALL SELECT -m.s-1, {', '.join(f"round(a.{c}+m.u*(b.{c}-a.{c}),6)" for c in _zcols)}, 1, true FROM w_made m JOIN (SELECT *, row_number() OVER (ORDER BY event_id)-1 AS idx FROM w_min) a USING (idx)
+    JOIN w_near n ON n.event_id=a.event_id AND n.rank=m.rank JOIN w_min b ON b.event_id=n.neighbour""")
 def _(s, d):
-    return R.oversample(scaled_train(s, d), "event_id", FEATURES, target_ratio=0.2)
+    return r(R.oversample(scaled_train(s, d), "event_id", FEATURES, target_ratio=0.2), **{c: 6 for c in FEATURES})
 
 
 @query("m03_oversample_checks", "SELECT * FROM (VALUES " + ",".join(f"('{c}', true, 0::BIGINT, '{n}')" for c, n in (
