@@ -129,7 +129,7 @@ def segment_sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def shingle_sets(column: pa.Array | pa.ChunkedArray, k: int, limit: int = 4 << 20):
+def shingle_sets(column: pa.Array | pa.ChunkedArray, k: int, limit: int = 1 << 20):
     """Yield (a, b, hashes, offsets): the distinct shingle hashes, sorted, of the rows a..b of a text column."""
     raw, offsets = text_buffers(column)
     for a, b in slices(offsets, limit):
