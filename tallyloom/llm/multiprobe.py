@@ -96,7 +96,7 @@ class Tables:
         inside = at - np.floor(at)
         chance = np.stack([_phi((m + 1 - inside) / spread) - _phi((m - inside) / spread) for m in range(-self.reach, self.reach + 1)], axis=2)
         log = np.log(chance + 1e-300)
-        score = sum(log[:, j, :][:, self.moves[:, j] + self.reach] for j in range(self.k))
+        score = sum((log[:, j, :][:, self.moves[:, j] + self.reach] for j in range(self.k)), np.zeros((len(at), len(self.moves))))
         return np.argsort(-score, axis=1, kind="stable")
 
 
@@ -204,7 +204,8 @@ def _rank(n: int):
 def nearest(vectors: DataFrame, neighbours: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found rows of each row whose id is divisible by ``every``, itself left out.
 
-    Ranked by the inner product of the original vectors in double precision, ties to the smaller id; all rows if there are fewer. Vectors that are null, zero, or
+    Ranked by the inner product of the original vectors in double precision, ties to the smaller id; all rows if there are fewer (up to 2 * BUCKET distinct vectors are
+    compared in full; beyond that a query has fewer than ``neighbours`` only if its visits met fewer). Vectors that are null, zero, or
     have null or non-finite components take no part, nor do those without an id or not of the commonest dimension. Rows that repeat id and vector count once.
     Other columns are ignored; an empty table gives no rows.
     """
@@ -227,11 +228,10 @@ def nearest(vectors: DataFrame, neighbours: int = 20, every: int = 20, id_col: s
     if not sample:
         return vectors.sparkSession.createDataFrame([], result)
     scale = entries.select("vec").mapInArrow(_norms, "n double").agg(F.max("n")).first()[0]
-    functions = int(np.clip(round(np.log(max(count / BUCKET, 1)) / np.log(2.8)), 1, MOST_FUNCTIONS))
-    tables = Tables(dimension, functions, scale)
+    # a small table is a single bucket
+    functions = int(np.clip(round(np.log(max(count / BUCKET, 1)) / np.log(2.8)), 1, MOST_FUNCTIONS)) if count > 2 * BUCKET else 0
+    tables = Tables(dimension, functions, scale, TABLES if functions else 1)
     visits, apart = _fit_visits(entries, tables, sample, neighbours)
-    if count <= 2 * BUCKET:  # few buckets: visit all
-        visits = len(tables.moves)
     points = entries.select("cid", "vec").mapInArrow(_points(tables), "bucket long, cid long, vec binary")
     crowd = keep(points.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "buckets")
     placed = points.join(crowd, "bucket").select("bucket", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int").alias("chunk"), "cid", "vec")
