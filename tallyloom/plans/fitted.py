@@ -64,7 +64,7 @@ def _assembled(s, d):
 @query("m04_classifiers")
 def _(s, d):
     train, test, _raw = _assembled(s, d)
-    suites, _models = ML.train_and_measure(train, test, ML.classifiers())
+    suites, _models = ML.train_and_measure(train, test, ML.classifiers(rows=train.count()))
     from ..operators.metrics import METRICS, compare_models
 
     return r(compare_models(suites).select("rank", "model", *METRICS), **{c: 4 for c in METRICS})
@@ -81,7 +81,7 @@ def _(s, d):
 @query("m09_feature_importance")
 def _(s, d):
     train, _t, _raw = _assembled(s, d)
-    est = ML.classifiers()
+    est = ML.classifiers(rows=train.count())
     models = {k: est[k].fit(train) for k in ("logistic_regression", "random_forest")}
     return r(ML.side_by_side(ML.importance(models, FEATURES, s), list(models)), logistic_regression=4, random_forest=4)
 
