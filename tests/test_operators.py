@@ -240,3 +240,16 @@ def test_stream_equals_batch_in_several_batches(spark):
     got = Z.customer_state(s).orderBy("user_id").toPandas()
     want = e.groupBy("user_id", F.to_date("ts").alias("d")).agg(F.sum("value").alias("v")).groupBy("user_id").agg((F.count("*") - 1).alias("f"), F.sum("v").alias("t"), F.min_by("v", "d").alias("a")).orderBy("user_id").toPandas()
     assert list(got.frequency) == list(want.f) and np.allclose(got.monetary_value, (want.t - want.a) / want.f)
+
+
+def test_rare_rows_can_be_learnt_and_ranked_exactly(spark, sf):
+    from tallyloom.operators import metrics as M
+    from tallyloom.plans import fitted as FQ
+
+    train, test, _raw = FQ._assembled(spark, sf)
+    model = ML.classifiers(rows=train.count())["logistic_regression"].fit(train)
+    scored = ML.scored_by(model, test.unionByName(train.select(*test.columns))).toPandas()
+    pos, neg = scored.score[scored.label == 1].to_numpy(), scored.score[scored.label == 0].to_numpy()
+    wins = (pos[:, None] > neg[None, :]).mean() + 0.5 * (pos[:, None] == neg[None, :]).mean()
+    got = M.metric_suite(spark.createDataFrame(scored), 0.5, score="score").first()
+    assert got.roc_auc == pytest.approx(wins, abs=1e-12) and wins > 0.8
