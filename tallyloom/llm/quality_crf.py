@@ -40,8 +40,12 @@ def line_features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     per_text = np.searchsorted(cut, offsets[1:]) - np.searchsorted(cut, offsets[:-1]) + 1
     lines = np.concatenate([[0], np.cumsum(per_text)])
     size = stop - starts
-    counts = [np.concatenate([[0], np.cumsum(c[raw])]) for c in _CLASS]
-    upper, lower, digit, prose, other, blank = (c[stop] - c[starts] for c in counts)
+    total = np.zeros(len(raw) + 1, np.int64)
+    counts = []
+    for c in _CLASS:
+        np.cumsum(c[raw], out=total[1:])
+        counts.append(total[stop] - total[starts])
+    upper, lower, digit, prose, other, blank = counts
     # words lie inside lines; accents are bytes above 127 and count as letters
     ws, we, first = words(raw, np.append(starts, len(raw)))
     n = np.diff(first)
@@ -136,7 +140,7 @@ def _features(texts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffers(batch.column(1))
-            for a, b in slices(offsets, 4 << 20):
+            for a, b in slices(offsets, 1 << 20):
                 own, _, lines = line_features(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 for i in range(b - a):
                     if lines[i + 1] - lines[i] <= TRAIN_LINES:
@@ -169,7 +173,7 @@ def quality_scores(docs: DataFrame, model, id_col: str = "doc_id", text_col: str
 
     def scores(column):
         raw, offsets = text_buffers(column)
-        for a, b in slices(offsets, 4 << 20):
+        for a, b in slices(offsets, 1 << 20):
             own, size, lines = line_features(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
             prob, _, _ = forward_backward(own @ weights, lines, ties)
             total = segment_sums(size.astype(float), lines)
@@ -184,11 +188,11 @@ def quality_scores(docs: DataFrame, model, id_col: str = "doc_id", text_col: str
 
     def keepers(batches):
         for batch in batches:
-            good = [score >= THRESHOLD for _, _, score, _ in scores(batch.column(0))]
-            rows = pa.RecordBatch.from_arrays(batch.columns[1:], schema=pa.schema([batch.schema.field(i) for i in range(1, batch.num_columns)]))
-            yield rows.filter(pa.array(np.concatenate([*good, np.zeros(0, bool)])))
+            for a, b, score, _ in scores(batch.column(place)):
+                yield batch.slice(a, b - a).filter(pa.array(score >= THRESHOLD))
 
     if keep_rows:
-        return docs.select(F.col(f"`{text_col}`").cast("string").alias("scored text"), "*").mapInArrow(keepers, docs.schema)
+        place = docs.columns.index(text_col)
+        return docs.mapInArrow(keepers, docs.schema)
     out = plain(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string")).mapInArrow(run, "doc_id long, score double, predicted int, n_lines long")
     return out.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"), "score", "predicted", "n_lines")
