@@ -9,6 +9,7 @@ text's counts are those of the words before plus those inside the current word.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -18,10 +19,11 @@ from pyspark.sql import DataFrame, functions as F
 from .hashing import U, mix, slices, text_buffers
 from .lexicon import gather
 from .tables import plain
-from .vocabulary import PieceBPE, merge_words, piece_bpe
+from .vocabulary import PairTable, PieceBPE, merge_words, piece_bpe
 
 CACHE = 300_000    # words whose counts a worker keeps at hand
 CELLS = 1 << 22    # cells of one group of words in the dynamic programme
+PAIRS = 500_000    # answers about pairs of tokens that a worker keeps
 FOREIGN = 1 << 24  # id of the first character that is no piece
 _UP = np.array([0x9E3779B97F4A7C15 | 1], U)
 
@@ -37,14 +39,18 @@ class PrefixCounter:
         sym, off = merge_words(*self.symbols([self.model.texts[i] for i in ids.tolist()]), self.model.table, single=True)
         whole = (np.diff(off) == 1) & (sym[np.minimum(off[:-1], len(sym) - 1)] == ids)
         codes = [np.array([ord(c) for c in self.model.texts[i]], np.int64) for i in ids[whole].tolist()]
-        size, kept = np.array([len(c) for c in codes]), ids[whole]
-        self.pieces: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by length, longest first: sorted hashes and ids
-        for n in sorted(set(size.tolist()), reverse=True):
-            mine = np.flatnonzero(size == n)
-            keys = self.hashes(np.stack([codes[i] for i in mine]))[:, -1]
+        # by length: sorted hashes of all ends of pieces, with the piece's id where the end is a whole piece
+        tails: dict[int, dict[tuple, int]] = {n: {} for n in range(1, max(map(len, codes)) + 1)}
+        for code, i in zip(codes, ids[whole].tolist()):
+            for n in range(1, len(code) + 1):
+                tails[n].setdefault(tuple(code[-n:]), -1)
+            tails[len(code)][tuple(code)] = i
+        self.tails = []
+        for n, found in tails.items():
+            keys = self.hashes(np.array(list(found), np.int64).reshape(len(found), n))[:, -1]
             order = np.argsort(keys)
-            self.pieces[n] = keys[order], kept[mine][order]
-        self.pairs, self.valid = np.zeros(0, np.int64), np.zeros(0, bool)
+            self.tails.append((n, keys[order], np.array(list(found.values()), np.int64)[order], U(pow(int(_UP[0]), n, 1 << 64))))
+        self.remember(np.zeros(0, np.int64), np.zeros(0, bool))
         self.reset()
 
     def reset(self) -> None:
@@ -67,26 +73,42 @@ class PrefixCounter:
         return out
 
     def pair_ok(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Whether the tokens stay as they are beside each other; answers are kept."""
+        """Whether the tokens stay as they are beside each other; answers are kept: most in a hash table, new ones in a small sorted list."""
         key = left << 32 | right
-        at = np.searchsorted(self.pairs, key)
-        seen = np.zeros(len(key), bool)
-        inside = at < len(self.pairs)
-        seen[inside] = self.pairs[at[inside]] == key[inside]
-        if not seen.all():
-            new = np.unique(key[~seen])
-            a, b = new >> 32, new & 0xFFFFFFFF
-            texts = self.model.texts
-            sym, off = merge_words(*self.symbols([texts[x] + texts[y] for x, y in zip(a.tolist(), b.tolist())]), self.model.table, single=True)
-            good = np.diff(off) == 2
-            good[good] = (sym[off[:-1][good]] == a[good]) & (sym[off[:-1][good] + 1] == b[good])
-            if len(self.pairs) > 4_000_000:
-                self.pairs, self.valid = self.pairs[:0], self.valid[:0]
-            pairs = np.concatenate([self.pairs, new])
+        at = self.asked.find(key)
+        out = self.answers[at]
+        rest = np.flatnonzero(at == len(self.answers) - 1)
+        if not len(rest):
+            return out
+        place = np.searchsorted(self.pairs, key[rest])
+        new = np.ones(len(rest), bool)
+        inside = np.flatnonzero(place < len(self.pairs))
+        new[inside] = self.pairs[place[inside]] != key[rest[inside]]
+        if new.any():
+            fresh = np.unique(key[rest[new]])
+            pairs = np.concatenate([self.pairs, fresh])
             order = np.argsort(pairs, kind="stable")
-            self.pairs, self.valid = pairs[order], np.concatenate([self.valid, good])[order]
-            return self.pair_ok(left, right) if len(self.pairs) > len(new) or seen.any() else self.valid[np.searchsorted(self.pairs, key)]
-        return self.valid[at]
+            self.pairs, self.valid = pairs[order], np.concatenate([self.valid, self.merged_alone(fresh)])[order]
+            place = np.searchsorted(self.pairs, key[rest])
+        out[rest] = self.valid[place]
+        if len(self.pairs) > 5000 + len(self.answers) // 4:
+            every = np.concatenate([self.asked_keys, self.pairs]) if len(self.answers) < PAIRS else self.pairs
+            good = np.concatenate([self.answers[:-1], self.valid]) if len(self.answers) < PAIRS else self.valid
+            self.remember(every, good)
+        return out
+
+    def remember(self, pairs: np.ndarray, good: np.ndarray) -> None:
+        self.asked_keys, self.answers = pairs, np.append(good, False)
+        self.asked = PairTable(pairs, np.arange(len(pairs)), np.arange(len(pairs)))
+        self.pairs, self.valid = np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def merged_alone(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether merging the joined text of each pair gives the pair again."""
+        a, b, texts = pairs >> 32, pairs & 0xFFFFFFFF, self.model.texts
+        sym, off = merge_words(*self.symbols([texts[x] + texts[y] for x, y in zip(a.tolist(), b.tolist())]), self.model.table, single=True)
+        good = np.diff(off) == 2
+        good[good] = (sym[off[:-1][good]] == a[good]) & (sym[off[:-1][good] + 1] == b[good])
+        return good
 
     def programme(self, words: list[str]) -> np.ndarray:
         """Counts at all prefixes of words of like length, as a matrix padded with 0; column 0 is the empty prefix."""
@@ -99,24 +121,27 @@ class PrefixCounter:
         last = np.full((len(words), width + 1), -1, np.int64)
         count = np.zeros((len(words), width + 1), np.int64)
         cost = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
-        power = {n: U(pow(int(_UP[0]), n, 1 << 64)) for n in self.pieces}
         for i in range(1, width + 1):
             rows = np.arange(np.searchsorted(-length, -i, side="right"))
-            for n, (keys, ids) in self.pieces.items():
-                if n > i or not len(rows):
-                    continue
-                key = rolled[rows, i] - rolled[rows, i - n] * power[n]
+            alive = rows  # words whose last n characters end some piece and whose last token isn't found yet
+            for n, keys, ids, power in self.tails:
+                if n > i or not len(alive):
+                    break
+                key = rolled[alive, i] - rolled[alive, i - n] * power
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                hit = np.flatnonzero(keys[at] == key)
-                piece, row = ids[at[hit]], rows[hit]
+                found = keys[at] == key
+                alive, piece = alive[found], ids[at[found]]
+                hit = np.flatnonzero(piece >= 0)
+                piece, row = piece[hit], alive[hit]
                 before = last[row, i - n]
                 ok = np.ones(len(row), bool)
                 ask = (before >= 0) & (before < FOREIGN)
                 ok[ask] = self.pair_ok(before[ask], piece[ask])
                 last[row[ok], i] = piece[ok]
                 count[row[ok], i] = count[row[ok], i - n] + 1
-                rows = np.delete(rows, hit[ok])
+                alive = np.delete(alive, hit[ok])
             # no piece: the character falls back to its bytes
+            rows = rows[last[rows, i] < 0]
             last[rows, i] = FOREIGN + codes[rows, i - 1]
             count[rows, i] = count[rows, i - 1] + cost[rows, i - 1]
         out = np.empty_like(count)
@@ -171,11 +196,17 @@ class PrefixCounter:
         return inside
 
 
+@lru_cache(maxsize=2)
+def prefix_counter(path: str) -> PrefixCounter:
+    """One counter for each worker process; what it has learnt serves all its tasks."""
+    return PrefixCounter(path)
+
+
 def _texts(column):
     raw, offsets = text_buffers(column)
-    data = raw.tobytes()
+    data = memoryview(raw)
     for a, b in slices(offsets, 4 << 20):
-        yield a, b, [data[s:e].decode() for s, e in zip(offsets[a:b].tolist(), offsets[a + 1:b + 1].tolist())], np.diff(offsets[a:b + 1])
+        yield a, b, [str(data[s:e], "utf-8") for s, e in zip(offsets[a:b].tolist(), offsets[a + 1:b + 1].tolist())], np.diff(offsets[a:b + 1])
 
 
 def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,7 +216,7 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
     repeated rows and null ids give a row each; other columns are ignored.
     """
     def run(batches):
-        counter = PrefixCounter(model)
+        counter = prefix_counter(model)
         for batch in batches:
             for a, b, texts, n_bytes in _texts(batch.column(1)):
                 n, at, off = counter.totals(texts)
@@ -199,7 +230,7 @@ def token_counts(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
 def prefix_table(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, counts): the exact token count at every prefix, item p (from 0) for the first p characters. Stored, it answers any later budget."""
     def run(batches):
-        counter = PrefixCounter(model)
+        counter = prefix_counter(model)
         for batch in batches:
             for a, b, texts, _ in _texts(batch.column(1)):
                 _, at, off = counter.totals(texts)
