@@ -96,9 +96,9 @@ class Rows:
 def token_ids(column, encoder, end: int):
     """Little-endian uint32 ids of each text, followed by ``end``; strings of special tokens count as those tokens, as in the library."""
     raw, offsets = text_buffers(column)
-    data = raw.tobytes()
+    data = memoryview(raw)
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        ids = encoder.encode_to_numpy(data[a:b].decode("utf-8"), allowed_special="all") if b > a else np.zeros(0, np.uint32)
+        ids = encoder.encode_to_numpy(str(data[a:b], "utf-8"), allowed_special="all") if b > a else np.zeros(0, np.uint32)
         yield np.append(ids, np.uint32(end)).astype("<u4")
 
 
