@@ -140,3 +140,22 @@ def test_components_and_helpers(spark):
     inside, outside = likely_among(spark.range(1000).union(spark.createDataFrame([(None,)], "id long")), "id", ids)
     kept = {r.id for r in inside.collect()}
     assert {3, 7} <= kept and len(kept) < 10 and outside.count() == 1001 - inside.count()
+
+
+def test_large_families_are_cut_into_bands_and_chunks(spark, monkeypatch):
+    """Tiles of a few documents: every pair of sets that can be linked still meets."""
+    monkeypatch.setattr(J, "TILE_ROWS", 4)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(base[: rng.randrange(150, 400)])) for i in range(120)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=3, similarity=(9, 10)).collect()}
+    assert got == groups_by_hand(rows, 3, 9, 10)
+    members = spark.createDataFrame([(i, 100 + i, 1) for i in range(60)] + [(100, 5, 2), (101, 5, 2), (102, 9, 3)], "id long, n long, family long")
+    seen = {}
+    for r in J._tiles(members, 9, 10).collect():
+        seen.setdefault((r.family, r.tile), set()).add(r.id)
+    for i in range(60):
+        for j in range(i + 1, 60):
+            if (100 + i) * 10 >= (100 + j) * 9:
+                assert any({i, j} <= ids for ids in seen.values())
+    assert seen[2, "0-0-0-0"] == {100, 101} and not any(f == 3 for f, _ in seen)
