@@ -237,7 +237,10 @@ def nearest(vectors: DataFrame, neighbours: int = 20, every: int = 20, id_col: s
     placed = points.join(crowd, "bucket").select("bucket", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int").alias("chunk"), "cid", "vec")
     calls = queries.mapInArrow(_visits(tables, visits, apart), "bucket long, qid long, qvec binary").join(crowd, "bucket").select("bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "qid", "qvec")
     ranked = placed.groupBy("bucket", "chunk").cogroup(calls.groupBy("bucket", "chunk")).applyInArrow(_rank(kept), "qid long, minus array<double>, cids array<long>")
-    merged = ranked.groupBy("qid").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("minus", "cids"))))), 1, kept).alias("near"))
+    # tables find the same entry, perhaps with another last bit of its score: an entry counts once
+    by_entry = ranked.groupBy("qid").agg(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("cids", "minus")))).alias("all"))
+    once = by_entry.select("qid", F.filter("all", lambda x, i: (i == 0) | (F.get("all", i - 1)["cids"] != x["cids"])).alias("all"))
+    merged = once.select("qid", F.slice(F.array_sort(F.transform("all", lambda x: F.struct(x["minus"].alias("minus"), x["cids"].alias("cids")))), 1, kept).alias("near"))
     # entries back to rows
     members = merged.select("qid", F.explode("near").alias("x")).join(entries.select(F.col("cid").alias("of"), "ids"), F.col("x.cids") == F.col("of"))
     lists = members.groupBy("qid").agg(F.slice(F.array_sort(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(F.col("x.minus").alias("minus"), i.alias("id")))))), 1, 2 * kept).alias("near"))

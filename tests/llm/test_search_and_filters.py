@@ -62,6 +62,7 @@ def test_neighbours_of_clusters_over_many_buckets(spark):
     centres = rng.normal(size=(80, 16)) * 3
     rows = [(i, (centres[i % 80] + rng.normal(size=16) * 0.3).tolist()) for i in range(9000)]
     got = as_lists(M.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)).collect())
+    assert all(len({i for i, _ in g}) == len(g) == 20 for g in got.values())
     assert recall(got, nearest_by_hand(rows)) >= 0.9
 
 
