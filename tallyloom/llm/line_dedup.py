@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .hashing import segment_sums, slices, span_hashes, text_buffers, words
-from .tables import keep, plain
+from .tables import keep, likely_among, plain
 
 LINE_WORDS = 5    # words of a line that can tie documents
 BLOCK_WORDS = 20  # words of an aligned block that is deleted
@@ -89,7 +89,7 @@ def line_hashes(texts: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffers(batch.column(1))
-            for a, b in slices(offsets, 4 << 20):
+            for a, b in slices(offsets, 1 << 20):
                 part, off = raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 cut = np.flatnonzero(part == 10)
                 starts = np.sort(np.concatenate([off[:-1], cut + 1]), kind="stable")
@@ -115,9 +115,14 @@ def _aligned(least: int):
 
 
 def _cut(batches):
+    """(doc_id, n_lines, removed_lines, text) from (id, text, gone); texts without lines to remove pass as they are."""
     for batch in batches:
-        texts = ["\n".join(line for p, line in enumerate(t.split("\n")) if p not in gone) for t, gone in zip(batch.column(1).to_pylist(), map(set, batch.column(2).to_pylist()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), batch.column(3), pa.array(texts, pa.string())], names=["doc_id", "gone", "n_lines", "text"])
+        rows = []
+        for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            drop = set(gone or ())
+            lines = text.split("\n") if drop else None
+            rows.append((len(lines) if drop else text.count("\n") + 1, len(drop), "\n".join(line for p, line in enumerate(lines) if p not in drop) if drop else text))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_lines", "removed_lines", "text"])
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", line_words: int = LINE_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -136,7 +141,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = pairs.mapInArrow(_aligned(block_words), "id long, gone array<int>").filter(F.size("gone") > 0)
     gone = keep(gone.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")), "gone")
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
-    both = texts.join(gone, "id", "left").select("id", "text", "gone", lines.cast("long").alias("n_lines"))
-    cut = both.filter("gone IS NOT NULL").mapInArrow(_cut, "doc_id long, gone array<int>, n_lines long, text string")
-    whole = both.filter("gone IS NULL").select(F.col("id").alias("doc_id"), F.array().cast("array<int>").alias("gone"), "n_lines", "text")
-    return cut.unionByName(whole).select("doc_id", "n_lines", F.size("gone").cast("long").alias("removed_lines"), "text")
+    # only texts that may lose lines are shuffled
+    maybe, whole = likely_among(texts, "id", gone.select("id"))
+    cut = maybe.join(gone, "id", "left").select("id", "text", "gone").mapInArrow(_cut, "doc_id long, n_lines long, removed_lines long, text string")
+    return cut.unionByName(whole.select(F.col("id").alias("doc_id"), lines.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("removed_lines"), "text"))
