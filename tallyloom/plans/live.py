@@ -94,7 +94,7 @@ def _(s, d):
 def _(s, d):
     p = fresh_path(s, "json")
     WR.json(V.answers(s, d), p)
-    back = RD.json_documents(s, p, "id bigint, question string, answer string, category string, expected_keywords array<string>")
+    back = RD.json_documents(s, p, "id string, question string, answer string, category string, expected_keywords array<string>")
     return back.select("id", "question", "answer", "category", F.size("expected_keywords").cast("bigint").alias("keywords"))
 
 
