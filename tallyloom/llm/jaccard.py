@@ -31,7 +31,8 @@ FEW = 16            # up to so many documents of a block are tied pair by pair
 SPARE = 0.02        # blocks added to the bound, as a share of it; and one more
 TILE_ROWS = 256     # documents of one side of a tile
 TILE_GRAMS = 1 << 20  # n-grams of one side of a tile, about
-GRAMS_A_BLOCK = 9   # n-grams of a block when only a number of blocks is taken
+GRAMS_A_BLOCK = 9   # n-grams of a block, at most on average, when only a number of blocks is taken
+EXACT_GRAMS = 63    # bands of sets of fewer n-grams than this are searched exactly even then
 
 
 def bands(top: int = 1 << 40) -> np.ndarray:
@@ -85,10 +86,27 @@ def exact_blocks(values, offsets, use, band, numerator, denominator):
     return owner[keep_word], key[keep_word]
 
 
+def small_blocks(values, offsets, use, band, numerator, denominator):
+    """Like exact_blocks and as exact, for small sets, whose words are thin: half as many blocks again, so that few sets need their thin words."""
+    top = bands()[band + 1] - 1
+    n = np.diff(offsets)
+    bound = most_apart(2 * top, numerator, denominator)
+    blocks = np.where(use, bound + bound // 2 + 3, 0)
+    word, base = parity(values[np.repeat(use, n)], ends(np.where(use, n, 0)), blocks)
+    owner = np.repeat(np.arange(len(n)), blocks)
+    key = mix(word ^ mix((np.arange(len(word)) - base[owner]).astype(U) + (band[owner].astype(U) << U(40))))
+    bits = np.bitwise_count(word)
+    apart = most_apart(n + np.minimum(top, n * denominator // max(numerator, 1)), numerator, denominator)
+    # a linked sketch differs in at most ``apart`` words, so with more words of so many bits one of these agrees, and the others are not needed
+    least = np.where(np.bincount(owner[bits > 0], minlength=len(n)) > apart, 1, 0)
+    least = np.where(np.bincount(owner[bits > 1], minlength=len(n)) > apart, 2, least)
+    good = bits >= least[owner]
+    return owner[good], key[good]
+
+
 def some_blocks(values, offsets, use, band, number):
-    """``number`` blocks of about GRAMS_A_BLOCK n-grams each, from as many hash orders as that takes: (set, key)."""
-    low = bands()
-    per_order = np.maximum((low[band] + low[band + 1]) // (2 * GRAMS_A_BLOCK), 1)
+    """``number`` blocks of at most about GRAMS_A_BLOCK n-grams each, from as many hash orders as that takes: (set, key)."""
+    per_order = -(-(bands()[band + 1] - 1) // GRAMS_A_BLOCK)
     taken = np.minimum(per_order, number)
     orders = np.where(use, -(-number // taken), 0)
     n = np.diff(offsets)
@@ -104,7 +122,7 @@ def some_blocks(values, offsets, use, band, number):
         word = np.zeros(base[-1], U)
         np.bitwise_xor.at(word, base[mine[inside]] + slot[inside], U(1) << (h[inside] & U(63)))
         of = np.repeat(np.arange(len(n)), np.diff(base))
-        good = np.bitwise_count(word) >= np.where(n[of] < 2 * GRAMS_A_BLOCK, 1, 3)
+        good = np.bitwise_count(word) >= 3
         key = mix(word ^ mix((np.arange(len(word)) - base[of]).astype(U) + (band[of].astype(U) << U(40)) + U(order << 32)))
         sets.append(of[good])
         keys.append(key[good])
@@ -118,7 +136,12 @@ def block_keys(values: np.ndarray, offsets: np.ndarray, numerator: int, denomina
     found = []
     for up in (0, 1):
         use = (n > 0) & ((up == 0) | (n * denominator >= low[own + up] * numerator))
-        found.append(some_blocks(values, offsets, use, own + up, blocks) if blocks else exact_blocks(values, offsets, use, own + up, numerator, denominator))
+        if blocks:
+            small = low[own + up + 1] <= EXACT_GRAMS
+            found.append(small_blocks(values, offsets, use & small, own + up, numerator, denominator))
+            found.append(some_blocks(values, offsets, use & ~small, own + up, blocks))
+        else:
+            found.append(exact_blocks(values, offsets, use, own + up, numerator, denominator))
     owner, key = (np.concatenate(x) for x in zip(*found))
     order = np.argsort(owner, kind="stable")
     return key[order], ends(np.bincount(owner, minlength=len(n)))
@@ -251,9 +274,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nothing. component_id is the smallest id reachable by links. Ids are integers; rows with a null id stand alone. Repeated ids
     are one node: their sets are each compared, and every row gets the node's component. Other columns are ignored; an empty table gives no rows.
 
-    Without ``blocks`` the search is exact. Low similarities make the exact scheme costly (a block then holds few n-grams and there are many); ``blocks`` takes
-    so many blocks of GRAMS_A_BLOCK n-grams from independent hash orders instead, and a pair of similarity s is missed with the
-    probability (1 - exp(-2 * GRAMS_A_BLOCK * (1-s)/(1+s))) ** blocks, about: 0.0001 for s = 0.8 and 64 blocks, less than 1e-13 for s = 0.9.
+    Without ``blocks`` the search is exact. Low similarities make the exact scheme costly (a block then holds few n-grams and there are many). With ``blocks`` the
+    search is exact for pairs whose larger set has fewer than EXACT_GRAMS n-grams; other sets take so many blocks of at most GRAMS_A_BLOCK n-grams from
+    independent hash orders, and a pair of similarity s is missed with a probability of at most about
+    (1 - exp(-2 * GRAMS_A_BLOCK * (1-s)/(1+s))) ** blocks: 0.0001 for s = 0.8 and 64 blocks, less than 1e-13 for s = 0.9.
     """
     numerator, denominator = similarity
     texts = plain(docs, id=F.col(f"`{id_col}`").cast("long"), text=text_col)

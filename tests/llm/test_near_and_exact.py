@@ -71,6 +71,32 @@ def test_skewed_near_copies(spark, blocks):
     assert got == groups_by_hand(rows, 3, 9, 10)
 
 
+def test_small_near_copies_with_a_number_of_blocks(spark):
+    """A word more at either end, or another end word, at every size from 4 to 60 shingles."""
+    rows = []
+    for n in range(4, 61):
+        for change in range(4):
+            text = [f"n{n}c{change}w{i}" for i in range(n + 4)]
+            other = (text + ["new"], ["new"] + text, text[:-1] + ["new"], ["new"] + text[1:])[change]
+            rows += [(len(rows), " ".join(text)), (len(rows) + 1, " ".join(other))]
+    want = groups_by_hand(rows, 5, 8, 10)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=5, similarity=(8, 10), blocks=64).collect()}
+    assert got == want and sum(i != c for i, (_, c) in want.items()) > 200
+
+
+def test_larger_near_copies_with_a_number_of_blocks():
+    """Pairs at the similarity itself, at the upper ends of bands, where blocks are fullest."""
+    rng = np.random.default_rng(6)
+    for n in (63, 93, 140, 210, 315):
+        sets = []
+        for _ in range(300):
+            x = rng.integers(0, 2 ** 64, n + n // 9, dtype=U)
+            sets += [np.sort(x[:n]), np.sort(x[n // 9:])]
+        keys, at = J.block_keys(np.concatenate(sets), J.ends(np.array([len(s) for s in sets])), 8, 10, 64)
+        parts = [set(keys[i:j].tolist()) for i, j in zip(at[:-1], at[1:])]
+        assert sum(not x & y for x, y in zip(parts[::2], parts[1::2])) <= 1
+
+
 def test_sketch_distance_never_exceeds_the_difference():
     rng = np.random.default_rng(3)
     for n in (1, 5, 40, 400):
