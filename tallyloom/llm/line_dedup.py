@@ -1,9 +1,11 @@
 """Line de-duplication by pairwise alignment.
 
-Documents overlap if they share a line of several words. A line that occurs in more documents than one ties each later document to the line's first
-document, so the number of pairs grows with the number of lines however common a line is, and the rarer a line, the fewer pairs it makes. Each pair is aligned
-by patience diff: lines that are unique in both, in their longest common order, are anchors; the alignment grows from them and is repeated inside the
-gaps. Aligned blocks of enough words are deleted from the later document.
+Documents overlap if they share a window: consecutive lines, blank ones left out, that reach the words of a block and no line more, counted from their first line or
+from their last one. Every shared block is covered by shared windows. A window of more documents than one ties each later document to the window's first
+document, so the number of pairs grows with the number of lines however common a passage is. Each pair is aligned by patience diff: lines
+that are unique in both, in their longest common order, are anchors; the alignment grows from them and is repeated inside the gaps.
+Aligned blocks of enough words are deleted from the later document, and so are common windows that the alignment
+passes by because they lie in another order or several times: a document between the two may hold them alone.
 """
 
 from __future__ import annotations
@@ -14,10 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .hashing import segment_sums, slices, span_hashes, text_buffers, words
+from .hashing import _powers, mix, segment_sums, slices, span_hashes, text_buffers, words
 from .tables import keep, likely_among, plain
 
-LINE_WORDS = 5    # words of a line that can tie documents
 BLOCK_WORDS = 20  # words of an aligned block that is deleted
 
 
@@ -65,27 +66,55 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def common_blocks(earlier: list, later: list, weights: list[int], least: int) -> list[int]:
-    """Lines of ``later`` in aligned blocks whose weights sum to ``least`` or more."""
-    out, block = [], []
+def window_ends(weights: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the shortest runs whose weights (1 or more each) sum to ``least``, from each first and from each last line."""
+    total = np.concatenate([[0], np.cumsum(weights, dtype=np.int64)])
+    at = np.arange(len(total))
+    end = np.searchsorted(total, total + least)
+    start = np.searchsorted(total, total - least, side="right") - 1
+    fits, begun = end < len(total), start >= 0
+    return np.concatenate([at[fits], start[begun]]), np.concatenate([end[fits], at[begun]])
 
-    def close():
-        if sum(weights[p] for p in block) >= least:
-            out.extend(block)
 
-    before = (-2, -2)
-    for i, j in align(earlier, later):
-        if (i - 1, j - 1) != before:
-            close()
+def common_blocks(earlier: list, later: list, weights: list[int], least: int) -> list[int]:
+    """Lines of ``later`` in blocks that are in both and whose weights sum to ``least`` or more; blank lines (0) neither part a block nor start or end it."""
+    full = [p for p, v in enumerate(later) if v != 0]
+    a, b, w = [v for v in earlier if v != 0], [later[p] for p in full], [weights[p] for p in full]
+    blocks, block = [], []
+    for i, j in [*align(a, b), (-2, -2)]:
+        if block and (i - 1, j - 1) != block[-1]:
+            blocks.append((block[0][1], block[-1][1] + 1))
             block = []
-        block.append(j)
-        before = (i, j)
-    close()
-    return out
+        block.append((i, j))
+    out = {q for i, j in blocks if sum(w[i:j]) >= least for q in range(full[i], full[j - 1] + 1)}
+    heavy = dict(zip(b, w))
+    known = {tuple(a[i:j]) for i, j in zip(*(x.tolist() for x in window_ends(np.array([heavy.get(v, least) for v in a]), least)))}
+    for i, j in zip(*(x.tolist() for x in window_ends(np.array(w), least))):
+        if tuple(b[i:j]) in known:
+            out.update(range(full[i], full[j - 1] + 1))
+    return sorted(out)
 
 
-def line_hashes(texts: DataFrame) -> DataFrame:
-    """(id, hashes, words): the lines of each text of (id, text), blanks at their ends left out of the hash; a blank line has hash 0."""
+def window_hashes(hashes: np.ndarray, n: np.ndarray, lines: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of each text's windows, with their offsets; ``lines`` are the offsets of the texts' lines."""
+    full = np.flatnonzero(n > 0)
+    first = np.searchsorted(full, lines)
+    text = np.repeat(np.arange(len(lines) - 1), np.diff(first))
+    start, end = window_ends(n[full], least)
+    inside = text[start] == text[end - 1]
+    start, end = start[inside], end[inside]
+    up, down = _powers(len(full) + 1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[full] * up[:len(full)], dtype=np.uint64)])
+    key = mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    order = np.lexsort((key, text[start]))
+    key, of = key[order], text[start][order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
+    return key[new], np.concatenate([[0], np.cumsum(np.bincount(of[new], minlength=len(lines) - 1))])
+
+
+def line_hashes(texts: DataFrame, least: int) -> DataFrame:
+    """(id, hashes, words, windows): the lines of each text of (id, text), blanks at their ends left out of the hash; a blank line has hash 0."""
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffers(batch.column(1))
@@ -101,8 +130,10 @@ def line_hashes(texts: DataFrame) -> DataFrame:
                 if len(full):
                     hashes[full] = span_hashes(part, ws[first[full]], we[first[full + 1] - 1])
                 at = pa.array(lines, pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(at, pa.array(hashes.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(n.astype(np.int32)))], names=["id", "hashes", "words"])
-    return texts.mapInArrow(run, "id long, hashes array<long>, words array<int>")
+                window, ends = window_hashes(hashes, n, lines, least)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(at, pa.array(hashes.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(n.astype(np.int32))),
+                                                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(window.view(np.int64)))], names=["id", "hashes", "words", "windows"])
+    return texts.mapInArrow(run, "id long, hashes array<long>, words array<int>, windows array<long>")
 
 
 def _aligned(least: int):
@@ -125,16 +156,16 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_lines", "removed_lines", "text"])
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", line_words: int = LINE_WORDS, block_words: int = BLOCK_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_lines, removed_lines, text) of every row: the text without the blocks it shares with an earlier document (smaller id).
 
     Lines end at newlines; a null or empty text is one empty line and stays (null becomes empty). Of rows that repeat an id none is earlier than the other; both lose
     the same lines. Rows without an id are not compared. Other columns are ignored; an empty table gives no rows.
     """
     texts = plain(docs, id=F.col(f"`{id_col}`").cast("long"), text=F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    lined = keep(line_hashes(texts), "lines")
+    lined = keep(line_hashes(texts, block_words), "lines")
     lists = lined.filter("id IS NOT NULL").groupBy("id").agg(F.max_by(F.struct("hashes", "words"), F.size("hashes")).alias("l")).select("id", "l.hashes", "l.words")
-    seen = lined.filter("id IS NOT NULL").select("id", F.explode(F.arrays_zip("hashes", "words")).alias("l")).filter(F.col("l.words") >= line_words).select("id", F.col("l.hashes").alias("hash"))
+    seen = lined.filter("id IS NOT NULL").select("id", F.explode("windows").alias("hash"))
     shared = seen.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("hash", "first")
     pairs = seen.join(shared, "hash").filter("id > first").select("id", "first").distinct()
     pairs = pairs.join(lists.select(F.col("id").alias("first"), F.col("hashes").alias("earlier")), "first").join(lists, "id").select("id", "hashes", "words", "earlier")

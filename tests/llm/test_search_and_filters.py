@@ -178,6 +178,17 @@ def test_shared_passages_leave_the_later_document(spark, edge_docs, empty_docs):
     assert D.dedup_lines(empty_docs).collect() == []
 
 
+def test_every_shared_block_leaves_the_last_document(spark):
+    """Passages whose lines occurred first in other documents, lines of few words, moved lines, other blank lines."""
+    some = lambda i, n: " ".join(f"s{i}x{j}" for j in range(n))
+    short = "\n".join(some(f"q{i}", 3) for i in range(8))
+    p, q = some("p", 20), "\n".join([some("r", 15), some("t", 15), "end"])
+    rows = [(1, some(1, 8)), (2, some(2, 12)), (3, f"{some(1, 8)}\n{some(2, 12)}\nthree"), (4, f"x\n{some(1, 8)}\n{some(2, 12)}\nfour"), (5, f"{short}\nfive"), (6, f"six\n{short}"),
+            (7, f"{q}\n{p}"), (8, p), (9, f"{p}\nnine\n\n{q}"), (10, f"ten\n{some('r', 15)}\n\n{some('t', 15)}\nend")]
+    got = {r.doc_id: r.text for r in D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == {**{i: t for i, t in rows if i in (1, 2, 3, 5, 7)}, 4: "x\nfour", 6: "six", 8: "", 9: "nine\n", 10: "ten"}
+
+
 def test_line_query_leaves_no_long_repeat(spark, sf, texts):
     got = {r.doc_id: r for r in Q.QUERIES["op10_line_dedup"](spark, sf).collect()}
     assert set(got) == set(texts) and all(got[i].n_lines == (t or "").count("\n") + 1 for i, t in texts.items())
