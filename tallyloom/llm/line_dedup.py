@@ -3,8 +3,8 @@
 Documents overlap if they share a window: consecutive lines, blank ones left out, that reach the words of a block and no line more, counted from their first line or
 from their last one. Every shared block is covered by shared windows. A window of more documents than one ties each later document to the window's first
 document, so the number of pairs grows with the number of lines however common a passage is. Each pair is aligned by patience diff: lines
-that are unique in both, in their longest common order, are anchors; the alignment grows from them and is repeated inside the gaps.
-Aligned blocks of enough words are deleted from the later document, and so are common windows that the alignment
+that are unique in both, in their longest common order, are anchors; the alignment grows from them and is repeated inside the gaps; without such lines the
+n-th occurrences of a line are anchors. Aligned blocks of enough words are deleted from the later document, and so are common windows that the alignment
 passes by because they lie in another order or several times: a document between the two may hold them alone.
 """
 
@@ -55,6 +55,11 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
             for p in range(low, high):
                 once[part[p]] = -1 if part[p] in once else p
         common = [(p, once_b[v]) for v, p in once_a.items() if p >= 0 and once_b.get(v, -1) >= 0]
+        if not common:
+            places = {}
+            for p in range(j1 - 1, j0 - 1, -1):
+                places.setdefault(b[p], []).append(p)
+            common = [(p, places[a[p]].pop()) for p in range(i0, i1) if places.get(a[p])]
         chain = [common[k] for k in longest_rise([j for _, j in common])]
         last = (i0, j0)
         for i, j in chain:

@@ -189,6 +189,15 @@ def test_every_shared_block_leaves_the_last_document(spark):
     assert got == {**{i: t for i, t in rows if i in (1, 2, 3, 5, 7)}, 4: "x\nfour", 6: "six", 8: "", 9: "nine\n", 10: "ten"}
 
 
+def test_passages_that_occur_twice_are_aligned(spark):
+    assert D.align(list("PxPy"), list("zPw")) == [(0, 1)] and D.align(list("uPv"), list("zPqPw")) == [(1, 1)]
+    assert D.align(list("uabcvabcw"), list("zabcq")) == [(1, 1), (2, 2), (3, 3)]
+    p, some = long(7), lambda i: f"other {i}"
+    rows = [(1, "\n".join([some(1), p, some(2), p, some(3)])), (2, f"{some(4)}\n{p}\n{some(5)}"), (3, f"{some(6)}\n{p}\n{some(7)}\n{p}\n{some(8)}")]
+    got = {r.doc_id: r.text for r in D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: f"{some(4)}\n{some(5)}", 3: f"{some(6)}\n{some(7)}\n{some(8)}"}
+
+
 def test_line_query_leaves_no_long_repeat(spark, sf, texts):
     got = {r.doc_id: r for r in Q.QUERIES["op10_line_dedup"](spark, sf).collect()}
     assert set(got) == set(texts) and all(got[i].n_lines == (t or "").count("\n") + 1 for i, t in texts.items())
