@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import backoff_lm, exact_dedup, jaccard, lexicon, line_dedup, multiprobe, packing, prefix_counts, quality_crf, url_filter
+from . import backoff_lm, exact_dedup, jaccard, lexicon, line_dedup, multiprobe, packing, prefix_counts, quality_crf, url_filter, whitening
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -88,6 +88,11 @@ def _(spark, d):
     return line_dedup.dedup_lines(table(spark, d, "documents"))
 
 
+@query("op13_embedding_whitening")
+def _(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
