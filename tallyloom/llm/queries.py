@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import backoff_lm, exact_dedup, jaccard, lexicon, line_dedup, multiprobe, packing, prefix_counts, quality_crf, url_filter, whitening
+from . import backoff_lm, exact_dedup, hard_negatives, jaccard, lexicon, line_dedup, multiprobe, packing, prefix_counts, quality_crf, url_filter, whitening
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -88,6 +88,17 @@ def _(spark, d):
     return line_dedup.dedup_lines(table(spark, d, "documents"))
 
 
+@query("op12_hard_negatives", """WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS q FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) AS INTEGER) AS rank, s.other AS negative_id, positive_score, s.score AS negative_score
+    FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score QUALIFY rank <= 5""")
+def _(spark, d):
+    return hard_negatives.mine(table(spark, d, "embeddings"))
+
+
 @query("op13_embedding_whitening")
 def _(spark, d):
     return whitening.whiten(table(spark, d, "embeddings"))
