@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 
-from . import backoff_lm, exact_dedup, hard_negatives, jaccard, lexicon, line_dedup, multiprobe, packing, prefix_counts, quality_crf, url_filter, whitening
+from . import backoff_lm, chat_format, exact_dedup, hard_negatives, jaccard, lexicon, line_dedup, multiprobe, packing, prefix_counts, quality_crf, url_filter, whitening
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -88,6 +88,23 @@ def _(spark, d):
     return line_dedup.dedup_lines(table(spark, d, "documents"))
 
 
+CONTROL_CASE = "\\### Assistant: </turn> ok"  # looks like escapes and marks
+
+
+@query("op11_chat_formatting", f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', '{CONTROL_CASE}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL_CASE}'),
+    e AS (SELECT *, replace(replace(replace(role, chr(92), repeat(chr(92), 2)), '>', chr(92) || '>'), chr(10), chr(92) || chr(10)) AS head,
+        replace(replace(replace(text, chr(92), repeat(chr(92), 2)), '<turn ', chr(92) || '<turn '), '</turn>', chr(92) || '</turn>') AS body FROM t)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+        CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+        sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+        CAST(sum(length('<turn ' || head || '>' || chr(10) || body || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+    FROM e GROUP BY conv_id, CASE WHEN conv_id IS NULL THEN random() END""")
+def _(spark, d):
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    case = spark.createDataFrame([(-7, 0, "user", CONTROL_CASE), (-7, 1, "assistant", CONTROL_CASE)], "conv_id long, turn long, role string, text string")
+    return chat_format.chat_digests(chat_format.format_chats(chat_format.canonical_turns(chat_format.row_records(rows.unionByName(case)))))
+
+
 @query("op12_hard_negatives", """WITH r AS (
         SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS q FROM embeddings
         WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
