@@ -98,8 +98,7 @@ def token_ids(column, encoder, end: int):
     raw, offsets = text_buffers(column)
     data = memoryview(raw)
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-        ids = encoder.encode_to_numpy(str(data[a:b], "utf-8"), allowed_special="all") if b > a else np.zeros(0, np.uint32)
-        yield np.append(ids, np.uint32(end)).astype("<u4")
+        yield np.append(encoder.ids(str(data[a:b], "utf-8")), np.uint32(end)).astype("<u4")
 
 
 def _pack(size: int, windows: int, tokenizer: str, end: int, with_ids: bool):

@@ -123,14 +123,47 @@ def byte_bpe(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
-@lru_cache(maxsize=4)
-def fast_encoder(path: str):
-    """A ``tiktoken`` encoder with the ids of the ``tokenizers`` file; it gives the same ids several times faster."""
-    import tiktoken
-    import public_tokenizers
+LONG_BLANK = 4096  # characters of a run of blanks that the encoder's pattern is spared
+
+
+class FastEncoder:
+    """A ``tiktoken`` encoder with the ids of a ``tokenizers`` file; it gives the same ids several times faster.
+
+    Its pattern matcher needs stack for every blank of a run, so long runs are cut out by the pattern's own rule: all blanks but the one before a word
+    are a part of their own, all of them where the text or a special token ends the run. Such parts are merged on arrays.
+    """
 
-    model = byte_bpe(path)
-    return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=model.ids, special_tokens=model.special)
+    def __init__(self, path: str):
+        import public_tokenizers
+        import regex
+        import tiktoken
+
+        self.model = byte_bpe(path)
+        self.special = tuple(self.model.special)
+        if any(regex.search(r"\p{White_Space}", t) for t in self.special):
+            raise ValueError(f"{path}: special tokens with blanks are not supported")
+        self.blanks = regex.compile(rf"\p{{White_Space}}{{{LONG_BLANK},}}")
+        self.encoder = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.model.ids, special_tokens=self.model.special)
+
+    def _short(self, text: str) -> np.ndarray:
+        return self.encoder.encode_to_numpy(text, allowed_special="all") if text else np.zeros(0, np.uint32)
+
+    def ids(self, text: str) -> np.ndarray:
+        """The ids of a text; strings of special tokens count as those tokens, as in the library."""
+        parts, at = [], 0
+        for run in self.blanks.finditer(text) if len(text) >= LONG_BLANK else ():
+            end = run.end()
+            if end < len(text) and not text.startswith(self.special, end):
+                end -= 1
+            blank = np.frombuffer(text[run.start():end].encode(), np.uint8)
+            parts += [self._short(text[at:run.start()]), merge_words(self.model.of_byte[blank], np.array([0, len(blank)]), self.model.table)[0].astype(np.uint32)]
+            at = end
+        return np.concatenate([*parts, self._short(text[at:])]) if parts else self._short(text)
+
+
+@lru_cache(maxsize=4)
+def fast_encoder(path: str) -> FastEncoder:
+    return FastEncoder(path)
 
 
 class PieceBPE:

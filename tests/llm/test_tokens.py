@@ -136,6 +136,21 @@ def test_packing_edge_cases(spark, edge_docs, empty_docs, byte_ids):
     assert sum(r.length for r in K.pack(edge_docs, BYTE).collect()) == sum(len(byte_ids(r.text)) + 1 for r in edge_docs.collect())
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u3000", " \n"])
+def test_long_runs_of_blanks_have_the_ids_of_the_library(blank, byte_ids):
+    from tallyloom.llm.vocabulary import LONG_BLANK, fast_encoder
+
+    encoder, run = fast_encoder(BYTE), blank * 20_000
+    for text in (run, run + "word", run + " 's", f"one{run}two{run}", f"a {run}<|endoftext|>{run}7", run + "<|endoftext|>", "x" + blank * LONG_BLANK + "y", "x" + blank * (LONG_BLANK - 1)):
+        assert encoder.ids(text).tolist() == byte_ids(text)
+
+
+def test_packing_survives_three_million_blanks(spark, byte_ids):
+    texts = {1: "before", 2: " " * 3_000_000, 3: "\n" * 1_000_000 + "end", 4: "a" + "\t" * 1_000_000, 5: "after"}
+    rows = K.pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1), BYTE).collect()
+    assert packed_right(rows, texts, byte_ids) < 1024
+
+
 def test_windows_are_placed_best_fit_and_the_fullest_is_emitted():
     out = []
     space = K.Windows(10, 2, out.append)
