@@ -119,10 +119,10 @@ def window_hashes(hashes: np.ndarray, n: np.ndarray, lines: np.ndarray, least: i
 
 
 def line_hashes(texts: DataFrame, least: int) -> DataFrame:
-    """(id, hashes, words, windows): the lines of each text of (id, text), blanks at their ends left out of the hash; a blank line has hash 0."""
+    """(id, digest, hashes, words, windows): the lines of each text of (id, digest, text), blanks at their ends left out of the hash; a blank line has hash 0."""
     def run(batches):
         for batch in batches:
-            raw, offsets = text_buffers(batch.column(1))
+            raw, offsets = text_buffers(batch.column(2))
             for a, b in slices(offsets, 1 << 20):
                 part, off = raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 cut = np.flatnonzero(part == 10)
@@ -136,17 +136,17 @@ def line_hashes(texts: DataFrame, least: int) -> DataFrame:
                     hashes[full] = span_hashes(part, ws[first[full]], we[first[full + 1] - 1])
                 at = pa.array(lines, pa.int32())
                 window, ends = window_hashes(hashes, n, lines, least)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(at, pa.array(hashes.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(n.astype(np.int32))),
-                                                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(window.view(np.int64)))], names=["id", "hashes", "words", "windows"])
-    return texts.mapInArrow(run, "id long, hashes array<long>, words array<int>, windows array<long>")
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.ListArray.from_arrays(at, pa.array(hashes.view(np.int64))), pa.ListArray.from_arrays(at, pa.array(n.astype(np.int32))),
+                                                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(window.view(np.int64)))], names=["id", "digest", "hashes", "words", "windows"])
+    return texts.mapInArrow(run, "id long, digest long, hashes array<long>, words array<int>, windows array<long>")
 
 
 def _aligned(least: int):
-    """Removed lines of each pair (id, hashes, words, earlier)."""
+    """Removed lines of each pair (id, digest, hashes, words, earlier)."""
     def run(batches):
         for batch in batches:
-            rows = [common_blocks(e, h, w, least) for h, w, e in zip(*(batch.column(c).to_pylist() for c in (1, 2, 3)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["id", "gone"])
+            rows = [common_blocks(e, h, w, least) for h, w, e in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int32()))], names=["id", "digest", "gone"])
     return run
 
 
@@ -164,20 +164,21 @@ def _cut(batches):
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, n_lines, removed_lines, text) of every row: the text without the blocks it shares with an earlier document (smaller id).
 
-    Lines end at newlines; a null or empty text is one empty line and stays (null becomes empty). Of rows that repeat an id none is earlier than the other; both lose
-    the same lines. Rows without an id are not compared. Other columns are ignored; an empty table gives no rows.
+    Lines end at newlines; a null or empty text is one empty line and stays (null becomes empty). Of rows that repeat an id none is earlier than the other; each
+    text of such an id loses its own lines. Rows without an id are not compared. Other columns are ignored; an empty table gives no rows.
     """
-    texts = plain(docs, id=F.col(f"`{id_col}`").cast("long"), text=F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    lined = keep(line_hashes(texts, block_words), "lines")
-    lists = lined.filter("id IS NOT NULL").groupBy("id").agg(F.max_by(F.struct("hashes", "words"), F.size("hashes")).alias("l")).select("id", "l.hashes", "l.words")
-    seen = lined.filter("id IS NOT NULL").select("id", F.explode("windows").alias("hash"))
-    shared = seen.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").select("hash", "first")
-    pairs = seen.join(shared, "hash").filter("id > first").select("id", "first").distinct()
-    pairs = pairs.join(lists.select(F.col("id").alias("first"), F.col("hashes").alias("earlier")), "first").join(lists, "id").select("id", "hashes", "words", "earlier")
-    gone = pairs.mapInArrow(_aligned(block_words), "id long, gone array<int>").filter(F.size("gone") > 0)
-    gone = keep(gone.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")), "gone")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    texts = plain(docs, id=F.col(f"`{id_col}`").cast("long"), digest=F.xxhash64(text), text=text)
+    lined = keep(line_hashes(texts, block_words), "lines").filter("id IS NOT NULL")
+    lists = lined.groupBy("id", "digest").agg(F.first(F.struct("hashes", "words")).alias("l")).select("id", "digest", "l.hashes", "l.words")  # rows of equal texts have equal lines
+    seen = lined.select("id", "digest", F.explode("windows").alias("hash"))
+    shared = seen.groupBy("hash").agg(F.min(F.struct("id", "digest")).alias("first"), F.max("id").alias("last")).filter("first.id < last").select("hash", F.col("first.id").alias("first"), F.col("first.digest").alias("first_digest"))
+    pairs = seen.join(shared, "hash").filter("id > first").select("id", "digest", "first", "first_digest").distinct()
+    pairs = pairs.join(lists.select(F.col("id").alias("first"), F.col("digest").alias("first_digest"), F.col("hashes").alias("earlier")), ["first", "first_digest"]).join(lists, ["id", "digest"]).select("id", "digest", "hashes", "words", "earlier")
+    gone = pairs.mapInArrow(_aligned(block_words), "id long, digest long, gone array<int>").filter(F.size("gone") > 0)
+    gone = keep(gone.groupBy("id", "digest").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")), "gone")
     lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     # only texts that may lose lines are shuffled
     maybe, whole = likely_among(texts, "id", gone.select("id"))
-    cut = maybe.join(gone, "id", "left").select("id", "text", "gone").mapInArrow(_cut, "doc_id long, n_lines long, removed_lines long, text string")
+    cut = maybe.join(gone, ["id", "digest"], "left").select("id", "text", "gone").mapInArrow(_cut, "doc_id long, n_lines long, removed_lines long, text string")
     return cut.unionByName(whole.select(F.col("id").alias("doc_id"), lines.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("removed_lines"), "text"))

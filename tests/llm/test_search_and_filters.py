@@ -189,6 +189,15 @@ def test_every_shared_block_leaves_the_last_document(spark):
     assert got == {**{i: t for i, t in rows if i in (1, 2, 3, 5, 7)}, 4: "x\nfour", 6: "six", 8: "", 9: "nine\n", 10: "ten"}
 
 
+def test_texts_of_one_id_lose_their_own_lines_only(spark):
+    """Rows that repeat an id are texts of their own: what one shares is not cut out of another, whatever their numbers of lines."""
+    p, own = long(1), lambda i, n: [f"mine {i} {j}" for j in range(n)]
+    for n in (1, 2, 3, 9):
+        rows = [(1, p), (2, "\n".join([p, *own(1, 2)])), (2, "\n".join(own(2, n))), (2, "\n".join([*own(3, n), p])), (3, "\n".join([long(5), p])), (3, long(5))]
+        got = sorted((r.doc_id, r.text) for r in D.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+        assert got == sorted([(1, p), (2, "\n".join(own(1, 2))), (2, "\n".join(own(2, n))), (2, "\n".join(own(3, n))), (3, long(5)), (3, long(5))])
+
+
 def test_passages_that_occur_twice_are_aligned(spark):
     assert D.align(list("PxPy"), list("zPw")) == [(0, 1)] and D.align(list("uPv"), list("zPqPw")) == [(1, 1)]
     assert D.align(list("uabcvabcw"), list("zabcq")) == [(1, 1), (2, 2), (3, 3)]
