@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import cleaning as C, fitting as FT, models as ML, splits as P
+from ..operators import attribution as A, cleaning as C, fitting as FT, models as ML, resample as R, splits as P, threshold as T
+from ..operators.metrics import METRICS, compare_models, score_units
+from ..session import materialize
 from . import customer_value as CV, detection as DT
 from .registry import Registry, r
 
@@ -47,33 +49,125 @@ def _(s, d):
     return r(_params(s, *FT.fit_spend(C.repeat_buyers(eligible(s, d)))), value=2)
 
 
-def prepared(s, d):
-    from ..session import materialize
+LEAF_WISE = {"rounds": 25, "rate": 0.3}  # a level of a tree is a job: fewer, stronger trees
+
 
+def prepared(s, d):
+    """Training rows with synthetic ones, so that the classes are equal, and test rows as they are."""
     train, test = DT.train_test(s, d)
     a, b = P.engineer(train, train), P.engineer(test, train)
-    return (materialize(ML.with_weights(a).select("event_id", "label", "weight", *FEATURES), "train"), b.select("event_id", "label", *FEATURES))
+    up = R.oversample(materialize(a.select("event_id", "label", *FEATURES), "engineered"), "event_id", FEATURES, target_ratio=1.0)
+    return materialize(up.select("event_id", "label", F.lit(1.0).alias("weight"), *FEATURES), "train"), b.select("event_id", "label", *FEATURES)
+
+
+def _with_features(rows):
+    return ML.assemble(rows.withColumn("w", F.col("weight")), FEATURES, keep=["w"]).withColumnRenamed("w", "weight")
 
 
 def _assembled(s, d):
     train, test = prepared(s, d)
-    x = ML.assemble(train.withColumn("w", F.col("weight")), FEATURES, keep=["w"]).withColumnRenamed("w", "weight")
-    return x, ML.assemble(test, FEATURES), test
+    return _with_features(train), ML.assemble(test, FEATURES), test
 
 
 @query("m04_classifiers")
 def _(s, d):
     train, test, _raw = _assembled(s, d)
-    suites, _models = ML.train_and_measure(train, test, ML.classifiers(rows=train.count()))
-    from ..operators.metrics import METRICS, compare_models
-
+    suites, _models = ML.train_and_measure(train, test, ML.classifiers(rows=train.count(), leaf_wise=LEAF_WISE))
     return r(compare_models(suites).select("rank", "model", *METRICS), **{c: 4 for c in METRICS})
 
 
-@query("m05_resampled_cross_validation")
+@query("m04_balanced_forest")
+def _(s, d):
+    train, test = DT.train_test(s, d)
+    a, b = P.engineer(train, train), P.engineer(test, train)
+    suites, _models = ML.train_and_measure(_with_features(materialize(ML.with_weights(a), "weighted")), ML.assemble(b, FEATURES), {"balanced_forest": ML.balanced_forest()})
+    return r(suites.select("model", *METRICS), **{c: 4 for c in METRICS})
+
+
+# --- from fitted model to frozen impact ---
+
+_FITTED: dict = {}
+
+
+def chain(s, d):
+    """(model, validation scores, test scores, test rows): the leaf-wise model fitted on oversampled rows that neither the validation nor the test rows took part in. One fit a session and folder."""
+    key = s.sparkContext.applicationId, d
+    if key not in _FITTED:
+        rest, test = DT.train_test(s, d)
+        parts = materialize(P.stratified_split(rest, "event_id", test_share=0.2, seed=7, names=("main", "val")), "validation-split")
+        main, val = (parts.filter(F.col("split") == n).drop("split") for n in ("main", "val"))
+        fit, val, test = (materialize(P.engineer(x, main).select("event_id", "label", *FEATURES), n) for x, n in ((main, "main"), (val, "val"), (test, "test")))
+        up = R.oversample(fit, "event_id", FEATURES, target_ratio=1.0).withColumn("weight", F.lit(1.0))
+        model = ML.classifiers(leaf_wise=LEAF_WISE)["boosted_trees_b"].fit(_with_features(up))
+
+        def scores(x, name):
+            p = ML.vector_to_array(F.col("probability"))[1]
+            full = model.transform(ML.assemble(x, FEATURES, keep=["event_id", "amount"]))
+            return materialize(full.select("event_id", F.col("label").cast("int").alias("label"), "amount", p.alias("score")).withColumn("score_e4", score_units(F.col("score"))), name)
+
+        _FITTED[key] = model, scores(val, "val-scores"), scores(test, "test-scores"), test
+    return _FITTED[key]
+
+
+@query("m04_chain_scores")
+def _(s, d):
+    _model, val, test, _rows = chain(s, d)
+    return r(val.withColumn("part", F.lit("val")).unionByName(test.withColumn("part", F.lit("test"))), score=6)
+
+
+@query("m11_chain_sweep")
 def _(s, d):
-    from ..session import materialize
+    return r(T.sweep(chain(s, d)[1]), **DT._swd)
+
 
+@query("m14_chain_impact")
+def _(s, d):
+    """The threshold is swept and frozen on validation rows; only then the test rows are seen."""
+    _model, val, test, _rows = chain(s, d)
+    return r(T.impact(materialize(T.sweep(val), "sweep"), test), test_cost=3, annual_cost=0, caught_pct=6, false_alarm_pct=6)
+
+
+def chain_long(s, d):
+    """Exact Shapley contributions of the fitted model to the log-odds of every test row, over all its features."""
+    model, _val, _test, rows = chain(s, d)
+    return ML.tree_contributions(model, rows, "event_id", FEATURES)
+
+
+def _features_only(s, d):
+    return materialize(chain_long(s, d).filter("feature <> '(base)'"), "contributions")
+
+
+@query("m18_boosted_attribution")
+def _(s, d):
+    return r(chain_long(s, d), value=6, contribution=6)
+
+
+@query("m19_fitted_importance")
+def _(s, d):
+    return r(A.global_importance(_features_only(s, d), 5), mean_abs=6, mean_positive=6, correlation=6)
+
+
+@query("m20_fitted_dependence")
+def _(s, d):
+    long = _features_only(s, d)
+    best = A.global_importance(long, 1).first()["feature"]
+    return r(A.dependence(long, best, "event_id").withColumn("feature", F.lit(best)), value=6, contribution=6, correlation=6, clip_lo=6, clip_hi=6)
+
+
+@query("m21_fitted_beeswarm")
+def _(s, d):
+    return r(A.beeswarm(_features_only(s, d), 15, "event_id"), contribution=6, unit=6)
+
+
+@query("m22_fitted_explanation")
+def _(s, d):
+    long = materialize(chain_long(s, d), "contributions")
+    base = long.filter("feature = '(base)'").first()["contribution"]
+    return r(A.explain_top_positive(long.filter("feature <> '(base)'"), "event_id", base=base).select("event_id", "feature", "contribution", "rank", "start_at"), contribution=6, start_at=6)
+
+
+@query("m05_resampled_cross_validation")
+def _(s, d):
     train, _t = DT.train_test(s, d)
     return r(ML.cross_validate(materialize(train, "cv-rows"), "event_id", DT.FEATURES, ML.classifiers(trees=100)["random_forest"]), mean=4, std=4)
 
@@ -81,9 +175,9 @@ def _(s, d):
 @query("m09_feature_importance")
 def _(s, d):
     train, _t, _raw = _assembled(s, d)
-    est = ML.classifiers(rows=train.count())
-    models = {k: est[k].fit(train) for k in ("logistic_regression", "random_forest")}
-    return r(ML.side_by_side(ML.importance(models, FEATURES, s), list(models)), logistic_regression=4, random_forest=4)
+    est = ML.classifiers(rows=train.count(), leaf_wise=LEAF_WISE)
+    models = {k: est[k].fit(train) for k in ("logistic_regression", "random_forest", "boosted_trees_b")}
+    return r(ML.side_by_side(ML.importance(models, FEATURES, s), list(models)), logistic_regression=4, random_forest=4, boosted_trees_b=4)
 
 
 @query("m18_tree_attribution")
