@@ -1,24 +1,14 @@
-"""Vectors for text and vector search results as context."""
+"""Mean vectors, token overlaps, and search results as context."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, Normalizer
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.semantics import clamp
-from ..functions.text import raw_tokens, token_set
-
-
-def text_vectors(texts: DataFrame, id_col: str, text: str, dims: int = 256, fitted=None):
-    """Unit-length hashed TF-IDF vectors; returns (table, model) so that queries use the corpus weights."""
-    x = texts.select(id_col, raw_tokens(F.coalesce(text, F.lit(""))).alias("_tokens"))
-    if fitted is None:
-        stages = [HashingTF(numFeatures=dims, inputCol="_tokens", outputCol="_tf"), IDF(inputCol="_tf", outputCol="_idf"), Normalizer(inputCol="_idf", outputCol="_unit")]
-        fitted = Pipeline(stages=stages).fit(x)
-    return fitted.transform(x).select(id_col, vector_to_array("_unit").alias("embedding")), fitted
+from ..functions.text import token_set
 
 
 def centroids(vectors: DataFrame, key: str, vec: str = "embedding") -> DataFrame:

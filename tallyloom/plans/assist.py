@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed_values import ANSWER_TEMPLATES, COMPLEX_WORDS, DIRECT_PATTERNS, NON_ANSWERS, STOP_WORDS
 from ..functions.semantics import norm, unit
 from ..functions.text import raw_tokens, split_clean, token_set, trim_space
-from ..operators import answers as A, chunking as K, nearest as N, retrieval as R, router as X
+from ..operators import answers as A, chunking as K, nearest as N, retrieval as R, router as X, sparse_index as I
 from . import sales, views as V
 from .registry import Registry, r, rounded
 
@@ -19,6 +19,17 @@ def toks(t):
     return f"list_distinct(list_filter({raw}, lambda x: regexp_full_match(x,'[a-z0-9._]+') AND NOT list_contains([{stop}], x)))"
 
 
+def words_of(t):
+    """All tokens of a text, repeats and stop words included."""
+    return f"list_filter(list_transform(string_split_regex(lower({t}), '[^\\p{{L}}\\p{{N}}_.]+'), lambda x: trim(x,'.')), lambda x: regexp_full_match(x,'[a-z0-9._]+'))"
+
+
+def unit_sql(rows, key, n, df):
+    """Unit TF-IDF weights of (key, term) rows."""
+    return f"""SELECT {key}, term, w/sqrt(sum(w*w) OVER (PARTITION BY {key})) AS w FROM (SELECT {key}, term, count(*)*ln(({n}+1.0::DOUBLE)/(coalesce(any_value(f.df),0)+1.0::DOUBLE)) AS w
+        FROM {rows} t LEFT JOIN {df} f USING (term) GROUP BY {key}, term) g WHERE w>0"""
+
+
 def both(a, b):
     return f"len(list_intersect({a}, {b}))"
 
@@ -48,6 +59,15 @@ EXTRA = {
     "w_words": "SELECT doc_id, list_filter(string_split_regex(text,'[ \t\r\n]+'), lambda w: length(w)>0) AS w FROM documents",
     "w_slide0": "SELECT doc_id, w, unnest(generate_series(0, greatest(len(w)-51,0), 150)) AS s FROM w_words WHERE len(w)>0",
     "w_slide": "SELECT doc_id, (s/150)::BIGINT AS chunk_no, array_to_string(w[s+1:s+200],' ') AS text, len(w[s+1:s+200])::BIGINT AS tokens FROM w_slide0",
+    "w_cterm": f"SELECT doc_id || '_' || chunk_no AS vec_id, unnest({words_of('text')}) AS term FROM w_slide",
+    "w_cdf": "SELECT term, count(DISTINCT vec_id) AS df FROM w_cterm GROUP BY term",
+    "w_cvec": unit_sql("w_cterm", "vec_id", "(SELECT count(*) FROM w_slide)", "w_cdf"),
+    "w_qterm": f"SELECT conv_id || '_' || turn AS query_id, unnest({words_of('question')}) AS term FROM v_questions",
+    "w_qvec": unit_sql("w_qterm", "query_id", "(SELECT count(*) FROM w_slide)", "w_cdf"),
+    "w_found": """SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM
+        (SELECT query_id, vec_id, round(sum(q.w*c.w),9) AS score FROM w_qvec q JOIN w_cvec c USING (term) GROUP BY ALL) x QUALIFY rank<=5""",
+    "w_dterm": f"SELECT doc_id, unnest({words_of('text')}) AS term FROM documents",
+    "w_ddf": "SELECT term, count(DISTINCT doc_id) AS df FROM w_dterm GROUP BY term",
     "w_cent0": "SELECT label, i, avg(x) AS m FROM (SELECT label, unnest(embedding::DOUBLE[]) AS x, generate_subscripts(embedding,1) AS i FROM embeddings) e GROUP BY ALL",
     "w_cent": "SELECT label AS query_id, list(m/n ORDER BY i) AS q FROM (SELECT *, sqrt(sum(m*m) OVER (PARTITION BY label)) AS n FROM w_cent0) c GROUP BY label",
     "w_hits": """SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score,9) DESC, vec_id) AS rank FROM
@@ -156,10 +176,24 @@ def _(s, d):
     return r(e.withColumn("pos", F.col("pos").cast("bigint")), value=8)
 
 
-@query("v02_text_vectors")
+@query("v02_text_vectors", f"""SELECT doc_id, count(*) AS terms, round(max(w),8) AS heaviest, round(sum(w),6) AS total, round(sqrt(sum(w*w)),8) AS length FROM ({unit_sql('w_dterm', 'doc_id', '(SELECT count(*) FROM documents)', 'w_ddf')}) v GROUP BY doc_id""")
 def _(s, d):
-    v, _m = R.text_vectors(docs(s, d), "doc_id", "text")
-    return v.select("doc_id", F.round(norm(F.col("embedding")), 6).alias("length"), F.size(F.filter("embedding", lambda x: x != 0)).alias("non_zero"))
+    v = I.build_index(docs(s, d), "doc_id", "text").forward
+    w = F.transform("terms", lambda t: t["weight"])
+    total = lambda square: F.aggregate(w, F.lit(0.0), lambda a, x: a + (x * x if square else x))
+    return r(v.select(F.col("id").alias("doc_id"), F.size("terms").cast("long").alias("terms"), F.array_max(w).alias("heaviest"), total(False).alias("total"), F.sqrt(total(True)).alias("length")), heaviest=8, total=6, length=8)
+
+
+def text_search(s, d):
+    """(questions, chunks, hits): the five best chunks of all documents for each question."""
+    chunks = K.sliding_chunks(docs(s, d), "doc_id", F.col("text")).withColumn("vec_id", F.format_string("%d_%d", "doc_id", "chunk_no"))
+    q = V.questions(s, d).withColumn("query_id", F.format_string("%d_%d", "conv_id", "turn"))
+    return q, chunks, I.search(q, I.build_index(chunks, "vec_id", "text"), 5)
+
+
+@query("v03_text_search", "SELECT query_id, vec_id, rank::INT AS rank, round(score,6) AS score FROM w_found")
+def _(s, d):
+    return r(text_search(s, d)[2], score=6)
 
 
 def vector_search(s, d):
@@ -231,15 +265,15 @@ def _(s, d):
     return r(X.route(X.classify(V.questions(s, d)), sales.kpis(s, d), None, ["conv_id", "turn"]), raw_value=4)
 
 
-@query("x03_question_to_answer")
+@query("x03_question_to_answer", f"""SELECT query_id, vec_id, round(score,6) AS score, CASE WHEN vec_id IS NULL THEN NULL WHEN len(ss)=0 THEN substr(text,1,400) ELSE list_sort(list_transform(range(1,len(ss)+1), lambda i: {{'h': {both(toks('ss[i]'), 'qt')}, 'p': -i, 's': ss[i]}}), 'DESC')[1].s
+    || ' [Source: ' || doc_id || ']' END AS answer FROM (SELECT q.conv_id || '_' || q.turn AS query_id, h.vec_id, h.score, w.text, w.doc_id, {toks('q.question')} AS qt,
+    list_filter(list_transform(string_split_regex(w.text,'[.\n|]'), lambda x: trim(x,' \t\r\n')), lambda x: length(x)>15) AS ss FROM v_questions q LEFT JOIN (SELECT * FROM w_found WHERE rank=1) h ON h.query_id=q.conv_id || '_' || q.turn
+    LEFT JOIN w_slide w ON w.doc_id || '_' || w.chunk_no=h.vec_id) z""")
 def _(s, d):
-    """Question to answer over the documents: vectors, top-5 search, best sentence."""
-    chunks = K.sliding_chunks(docs(s, d), "doc_id", F.col("text")).withColumn("vec_id", F.format_string("%d_%d", "doc_id", "chunk_no"))
-    vec, model = R.text_vectors(chunks, "vec_id", "text")
-    q = V.questions(s, d).withColumn("query_id", F.format_string("%d_%d", "conv_id", "turn"))
-    qv, _m = R.text_vectors(q, "query_id", "question", fitted=model)
-    hits = N.top_k_search(qv, vec, 5).filter("rank = 1").join(chunks.select("vec_id", "text", "doc_id"), "vec_id")
-    x = q.select("query_id", "question").join(hits.withColumn("doc_name", F.col("doc_id").cast("string")), "query_id", "left")
+    """Question to answer over the documents: inverted index, top-5 search, best sentence."""
+    q, chunks, hits = text_search(s, d)
+    best = hits.filter("rank = 1").join(chunks.select("vec_id", "text", "doc_id"), "vec_id")
+    x = q.select("query_id", "question").join(best.withColumn("doc_name", F.col("doc_id").cast("string")), "query_id", "left")
     return r(A.extractive_answer(x).select("query_id", "vec_id", "score", "answer"), score=6)
 
 
