@@ -162,3 +162,41 @@ def test_groups_and_ranks_keep_null_keys_and_nan_is_missing(spark):
     import statistics
     for g in (None, 0, 1):
         assert got[g] == statistics.median(v for _, k, v in rows if k == g and v == v)
+
+
+def test_cells_stay_exact_when_one_vector_is_a_third_and_text_ids_tie(spark):
+    rng = np.random.default_rng(9)
+    x = np.round(rng.normal(size=(90, 4)), 2)
+    x[30:60] = x[30]
+    ids = [f"r{i:03d}" for i in range(90)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)] + [("none", None)], "id string, v array<double>").repartition(4)
+    got = N.k_neighbours(df, 3, "id", "v", block_rows=8).collect()
+    dist = np.round(((x[:, None] - x[None]) ** 2).sum(2), 9)
+    want = {(ids[i], r): ids[j] for i in range(90) for r, j in enumerate(sorted((j for j in range(90) if j != i), key=lambda j: (dist[i, j], ids[j]))[:3], 1)}
+    assert {(r.id, r["rank"]): r.neighbour for r in got} == want
+    assert N.k_neighbours(df.filter("id = 'none'"), 3, "id", "v").count() == 0
+    assert N.k_neighbours(df.filter("id = 'r001'"), 3, "id", "v").count() == 0
+
+
+def test_clustered_rows_are_compared_with_few_others(spark, monkeypatch):
+    """The cells' work is counted where it is done, on the groups that Spark makes of them."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(10)
+    centre = rng.normal(size=(20, 6)) * 10
+    x = centre[np.arange(1200) % 20] + rng.normal(size=(1200, 6)) * 0.05
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, p array<double>").repartition(4)
+    rows, cells = N.in_cells(df, N.choose_pivots(df), 1e-6, 64)
+    asked = df.withColumnRenamed("id", "q").withColumn("radius", F.lit(0.5))
+    seen = 0
+    groups = {}
+    for first in (True, False):
+        visits = N._visits(asked, cells, 4, first).toArrow().to_pylist()
+        for v in visits:
+            groups.setdefault((v["cell"], v["ring"]), []).append(v)
+    held = {}
+    for r in rows.toArrow().to_pylist():
+        held.setdefault((r["cell"], r["ring"]), []).append(r)
+    for key, visitors in groups.items():
+        seen += N.best_in_group(pa.Table.from_pylist(visitors), pa.Table.from_pylist(held[key]), 3, 9, 1e-6, False, True)[3]
+    assert seen < 0.12 * 1200 * 1200
