@@ -233,6 +233,28 @@ def _(s, d):
     return r(FC.best_setting(FC.tune(labelled(s, d))), mae=3, mae_pct=4)
 
 
+def chosen_forecast(s, d):
+    """90 days ahead, each series with the flexibility that the search chose."""
+    return FC.forecast(clean_table(s, d), scales=FC.best_setting(FC.tune(labelled(s, d))))
+
+
 @query("t08_forecast_90_days")
 def _(s, d):
-    return r(FC.forecast(clean_table(s, d)), yhat=2, yhat_lower=2, yhat_upper=2)
+    return r(chosen_forecast(s, d), yhat=2, yhat_lower=2, yhat_upper=2)
+
+
+@query("t09_fitted_forecast_audit")
+def _(s, d):
+    return S.audit(clean_table(s, d), materialize(chosen_forecast(s, d), "forecast"))
+
+
+@query("t01_band_coverage")
+def _(s, d):
+    """Share of held-out days inside the band, and its mean width in the first and in the last month of them."""
+    x = labelled(s, d)
+    fc = FC.predict_test(x).join(x.filter("split = 'test'").select("series_id", "ds", "y"), ["series_id", "ds"])
+    edge = fc.groupBy("series_id").agg(F.min("ds").alias("a"), F.max("ds").alias("b"))
+    width = F.col("yhat_upper") - F.col("yhat_lower")
+    out = fc.join(edge, "series_id").groupBy("series_id").agg((F.avg(F.when(F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper")), 1.0).otherwise(0.0)) * 100).alias("covered_pct"),
+                                                           F.avg(F.when(F.col("ds") < F.date_add("a", 30), width)).alias("first_width"), F.avg(F.when(F.col("ds") > F.date_sub("b", 30), width)).alias("last_width"))
+    return r(out, covered_pct=2, first_width=2, last_width=2)

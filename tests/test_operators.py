@@ -99,6 +99,46 @@ def test_forecast_beats_the_mean_and_orders_its_band(spark):
     assert SR.audit(df, spark.createDataFrame(out)).filter("NOT passed").count() == 0
 
 
+def test_sparse_solution_meets_its_conditions():
+    rng = np.random.default_rng(2)
+    t = np.linspace(0, 1, 400)
+    x = np.column_stack([np.ones(400), t, np.maximum(t[:, None] - np.linspace(0, 0.9, 31)[1:], 0), rng.normal(size=(400, 4))])
+    y = 1 + 2 * t - 3 * np.maximum(t - 0.45, 0) + x[:, -1] * 0.5 + rng.normal(size=400) * 0.05
+    for weight in (1e-4, 0.01, 0.3, 50.0):
+        lasso, ridge = np.zeros(36), np.full(36, 1e-6)
+        lasso[2:32], ridge[2:32] = weight, 0.0
+        b = FC.sparse_solution(x.T @ x, x.T @ y, lasso, ridge)
+        slope = x.T @ (y - x @ b) - ridge * b
+        on = (lasso > 0) & (b != 0)
+        assert np.abs(slope[lasso == 0]).max() < 1e-6 and np.abs(slope[on] - weight * np.sign(b[on])).max(initial=0) < 1e-6
+        assert (np.abs(slope[(lasso > 0) & (b == 0)]) <= weight * (1 + 1e-6) + 1e-8).all()
+    assert not b[2:32].any()  # a strong prior leaves a straight line
+
+
+def test_fit_is_the_same_for_one_and_for_many_tasks(spark):
+    days = pd.date_range("2018-01-01", periods=700)
+    y = 500 + np.arange(700) + 60 * np.sin(np.arange(700) * 2 * np.pi / 7)
+    df = spark.createDataFrame(pd.DataFrame({"series_id": "s", "ds": days.date, "y": y}))
+    a, b = (FC.forecast(df.repartition(n), 30).orderBy("ds").toPandas() for n in (1, 6))
+    assert np.allclose(a[["yhat", "yhat_lower", "yhat_upper"]], b[["yhat", "yhat_lower", "yhat_upper"]], rtol=1e-6)
+
+
+def test_band_widens_and_covers_held_out_days(spark):
+    """Slopes that keep changing: a constant band would miss the far end."""
+    rng, rows = np.random.default_rng(4), []
+    days = pd.date_range("2017-01-01", periods=1000)
+    for k in range(12):
+        slope = np.repeat(rng.laplace(0, 0.5, 25).cumsum(), 40)  # the slope changes every forty days
+        rows.append(pd.DataFrame({"series_id": f"s{k}", "ds": days.date, "y": 20_000 + slope.cumsum() + rng.normal(0, 8, 1000)}))
+    df = spark.createDataFrame(pd.concat(rows))
+    lab = SR.split_label(df, "2019-06-30")
+    out = FC.predict_test(lab, FC.Settings(scale=0.5, multiplicative=False, yearly=0)).join(lab.select("series_id", "ds", "y"), ["series_id", "ds"]).toPandas().sort_values("ds")
+    width = (out.yhat_upper - out.yhat_lower).groupby(out.ds).mean().to_numpy()
+    assert width[-10:].mean() > 2 * width[:10].mean()
+    covered = ((out.yhat_lower <= out.y) & (out.y <= out.yhat_upper)).mean()
+    assert 0.6 < covered < 0.97
+
+
 def test_logistic_forecast_stays_below_the_cap(spark):
     days = pd.date_range("2019-01-01", periods=400)
     df = spark.createDataFrame(pd.DataFrame({"series_id": "s", "ds": days.date, "y": np.linspace(10, 100, 400)}))
