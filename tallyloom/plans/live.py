@@ -42,14 +42,14 @@ def _(s, d):
 @query("z02_weekly_monitor", """SELECT week_start, tp, fn, fp, tn, round(coalesce(tp/nullif(tp+fn,0)::DOUBLE,0),8) AS recall, round(coalesce(fp/nullif(fp+tn,0)::DOUBLE,0),8) AS false_alarm,
     coalesce(tp/nullif(tp+fn,0)::DOUBLE,0)<0.75 OR coalesce(fp/nullif(fp+tn,0)::DOUBLE,0)>0.003 AS breach FROM w_week""")
 def _(s, d):
-    t = Z.run_to_latest(Z.weekly_monitor(Z.flag(scored_stream(s, d), THRESHOLD)), "weekly", ["week_start"])
+    t = Z.weekly_monitor(Z.flag(scored_stream(s, d), THRESHOLD))
     return r(t.withColumn("week_start", as_clock("week_start")), recall=8, false_alarm=8)
 
 
 @query("z03_sliding_sum", """SELECT e AS window_end, round(sum(value),4) AS total, sum(n)::BIGINT AS events FROM (SELECT (day + k::INT)::TIMESTAMP AS e, value, n FROM w_day, generate_series(1,30) g(k)) x GROUP BY e""")
 def _(s, d):
     e = stream(s, d).select(as_instant("ts").alias("ts"), "value")
-    t = Z.sliding_sum(Z.run_to_latest(Z.daily_sum(e), "days", ["day"]))
+    t = Z.sliding_sum(Z.daily_sum(e))
     return r(t.withColumn("window_end", as_clock("window_end")), total=4)
 
 
@@ -62,7 +62,7 @@ def _(s, d):
 @query("z05_exactly_once", "SELECT event_id, user_id, value FROM events")
 def _(s, d):
     e = lambda: stream(s, d).select("event_id", "user_id", "value", as_instant("ts").alias("ts"))
-    return Z.run_to_table(Z.deduplicated(e().union(e())), "unique").select("event_id", "user_id", "value")
+    return Z.deduplicated(e().union(e())).select("event_id", "user_id", "value")
 
 
 # --- sources and sinks: written from the tables, read back, compared with the tables ---
