@@ -8,9 +8,9 @@ automaton, all new words of a batch side by side; the others are split by the to
 
 from __future__ import annotations
 
+import io
 import os
 import re
-import tempfile
 import uuid
 from itertools import chain
 
@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import shared_dir
 from .hashing import SPACE, U, slices, span_hashes, text_buffers, words
 from .tables import keep, plain
 from .vocabulary import ByteBPE, byte_bpe, merge_words
@@ -135,9 +136,14 @@ def compile_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", wor
     name = f"lexicon-{uuid.uuid4().hex}.npy"
     parts = [keys, targets, skips, final, off, ids]
     head = np.array([len(p) for p in parts], np.int64)
-    place = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)  # on the driver; addFile sends it to the executors, new ones too
-    np.save(place, np.concatenate([head, *parts]))
-    docs.sparkSession.sparkContext.addFile(place)
+    data = io.BytesIO()
+    np.save(data, np.concatenate([head, *parts]))
+    spark = docs.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    spark.sparkContext.addFile(path.toString())  # for all executors, new ones too
     return name
 
 
