@@ -5,7 +5,7 @@ by learnt transition weights. Forward and backward passes give each line's proba
 mean of its lines' probabilities, weighted by their length in bytes. All passes run over the documents of a batch side by side.
 
 Documents carry one label, so training takes it for each of their lines and maximises the conditional likelihood of the label chains (with an L2 penalty) on a
-bounded sample: at most TRAIN_DOCS labelled documents of at most TRAIN_LINES lines. Scoring has no bounds.
+bounded sample: at most TRAIN_DOCS labelled documents, of each at most TRAIN_LINES lines in a row. Scoring has no bounds.
 """
 
 from __future__ import annotations
@@ -136,27 +136,29 @@ def fit(features: np.ndarray, lines: np.ndarray, labels: np.ndarray, steps: int
 
 
 def _features(texts: DataFrame) -> DataFrame:
-    """(label, lines, features) of training rows (id, text, label)."""
+    """(id, label, features) of training rows (id, text, label); of a longer text the TRAIN_LINES lines in its middle."""
     def run(batches):
         for batch in batches:
             raw, offsets = text_buffers(batch.column(1))
             for a, b in slices(offsets, 1 << 20):
                 own, _, lines = line_features(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 for i in range(b - a):
-                    if lines[i + 1] - lines[i] <= TRAIN_LINES:
-                        yield pa.RecordBatch.from_arrays([batch.column(0).slice(a + i, 1), batch.column(2).slice(a + i, 1), pa.array([own[lines[i]:lines[i + 1]].astype(np.float32).tobytes()])], names=["id", "label", "features"])
+                    start = lines[i] + max(0, lines[i + 1] - lines[i] - TRAIN_LINES) // 2
+                    part = own[start:min(lines[i + 1], start + TRAIN_LINES)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(a + i, 1), batch.column(2).slice(a + i, 1), pa.array([part.astype(np.float32).tobytes()])], names=["id", "label", "features"])
     return texts.mapInArrow(run, "id long, label int, features binary")
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_docs: int = TRAIN_DOCS):
-    """Weights learnt from the labels of rows whose crc32(id as text) mod 5 is not 0. Ids with several labels count with the lowest.
+    """Weights learnt from the labels of rows whose crc32(id as text) mod 5 is not 0. Ids with several labels count with the lowest, ids with several texts with
+    the one that sorts first.
 
     At most ``max_docs`` labelled ids, in the order of a hash, are joined to the texts, so the broadcast side and what reaches the driver are bounded.
     """
     known = plain(labels, id=F.col("doc_id").cast("long"), label=F.col(f"`{label_col}`").cast("int")).filter("label IS NOT NULL AND id IS NOT NULL")
     known = known.filter(F.crc32(F.col("id").cast("string")) % 5 != 0).groupBy("id").agg(F.min("label").alias("label"))
     sample = known.orderBy(F.xxhash64("id"), "id").limit(max_docs)
-    rows = plain(docs, id=F.col(f"`{id_col}`").cast("long"), text=text_col).join(F.broadcast(sample), "id").select("id", "text", "label")
+    rows = plain(docs, id=F.col(f"`{id_col}`").cast("long"), text=text_col).join(F.broadcast(sample), "id").groupBy("id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
     found = sorted(_features(rows).collect(), key=lambda r: (r["id"], bytes(r["features"])))
     chains = [np.frombuffer(r["features"], np.float32).reshape(-1, 3 * OWN) for r in found]
     lines = np.concatenate([[0], np.cumsum([len(c) for c in chains])]).astype(np.int64)
