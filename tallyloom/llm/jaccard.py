@@ -18,6 +18,7 @@ A link is never lost: linked documents share a block, hence are tied or in one f
 from __future__ import annotations
 
 import math
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -130,12 +131,14 @@ def some_blocks(values, offsets, use, band, number):
 
 
 def block_keys(values: np.ndarray, offsets: np.ndarray, numerator: int, denominator: int, blocks: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of each set in its own band and, where a larger partner may be in the next band, in that one too; with offsets."""
+    """Keys of each set in its own band and in all bands where a larger partner may be; with offsets."""
     low, n = bands(), np.diff(offsets)
     own = np.searchsorted(low, np.maximum(n, 1), side="right") - 1
     found = []
-    for up in (0, 1):
+    for up in count():
         use = (n > 0) & ((up == 0) | (n * denominator >= low[own + up] * numerator))
+        if up and not use.any():
+            break
         if blocks:
             small = low[own + up + 1] <= EXACT_GRAMS
             found.append(small_blocks(values, offsets, use & small, own + up, numerator, denominator))

@@ -185,3 +185,24 @@ def test_large_families_are_cut_into_bands_and_chunks(spark, monkeypatch):
             if (100 + i) * 10 >= (100 + j) * 9:
                 assert any({i, j} <= ids for ids in seen.values())
     assert seen[2, "0-0-0-0"] == {100, 101} and not any(f == 3 for f, _ in seen)
+
+
+@pytest.mark.parametrize("num", [4, 6, 9])
+def test_subsets_of_the_largest_allowed_ratio_are_linked(spark, num):
+    """A set and a part of it whose similarity is just enough: the sizes lie several bands apart at low similarities."""
+    rows = []
+    for i, n in enumerate([*range(1, 40, 3), 60, 111]):
+        words = [f"t{i}w{j}" for j in range(n)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-(-n * num // 10)]))]
+    got = {r.doc_id: r.component_id for r in J.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=1, similarity=(num, 10)).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
+def test_pipeline_keeps_one_of_rows_that_repeat_id_and_text(spark):
+    import corpus_pipeline
+
+    rows = [(1, "a", "x"), (2, "a", "x"), (2, "a", "x"), (3, "b", "x"), (3, "c", "x"), (3, "c", "y"), (None, "a", "x"), (None, "d", "x"), (5, None, "x"), (5, "", "x"), (6, "e", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(((r.doc_id, r.text or "") for r in corpus_pipeline.exact(spark, docs, "").collect()), key=repr)
+    assert [g for g in got if g[0] in (1, 2, 3, 6)] == [(2, "a"), (3, "b"), (3, "c"), (6, "e")] and (None, "d") in got
+    assert sum(g[0] == 5 for g in got) == 1  # a null text is an empty one
