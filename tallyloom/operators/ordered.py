@@ -2,6 +2,7 @@
 
 Pattern: values are cut into ordered buckets, one small table of bucket totals gives each bucket its
 starting offset, and windows only run inside a bucket. Any cut is correct; a good cut only balances.
+Quantiles and top shares only open the cells in which a wanted rank lies.
 """
 
 from __future__ import annotations
@@ -12,7 +13,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.semantics import hash_number, order_hash
+from ..session import materialize
 
+STEPS = 256  # cells of an e-fold of values, for selection
 PREFIX = 3  # hex digits of the hash order that are counted to find a cut
 
 
@@ -65,13 +68,43 @@ def value_counts(df: DataFrame, col: str, by: list[str] = (), **sums: str) -> Da
         F.count("*").alias("n"), *[F.sum(src).alias(name) for name, src in sums.items()])
 
 
+def prefix(value: Column) -> Column:
+    """An integer that never falls when the value rises: sign, and some leading digits of the logarithm (which Java promises to be semi-monotonic)."""
+    v = value.cast("double")
+    return (F.signum(v) * F.floor(F.least(F.log1p(F.abs(v)) * STEPS, F.lit(1e6)))).cast("int")
+
+
+def _counted(df: DataFrame, col: str, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows (by..., _v, _cell) without missing values, and the cells of equal prefix with their count, sum, lowest and highest value: the first scan."""
+    keyed = df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).select(*by, F.col(col).alias("_v"), prefix(F.col(col)).alias("_cell"))
+    return keyed, keyed.groupBy(*by, "_cell").agg(F.count("*").alias("_n"), F.sum("_v").alias("_s"), F.min("_v").cast("double").alias("_a"), F.max("_v").cast("double").alias("_b"))
+
+
+def _inside(keyed: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct values of the wanted cells with their counts and a bucket that cuts a cell evenly: the second scan, which moves nothing of the other cells."""
+    named = wanted.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, "_cell")], "_a", "_b")
+    near = keyed.join(named, same_keys(keyed, named, [*by, "_cell"])).groupBy(*by, "_cell", "_a", "_b", "_v").agg(F.count("*").alias("n"))
+    place = F.when(F.col("_b") > F.col("_a"), (F.col("_v").cast("double") - F.col("_a")) / (F.col("_b") - F.col("_a"))).otherwise(0.0)
+    return near.select(*by, "_cell", "_v", "n", F.floor(F.least(F.greatest(place, F.lit(0.0)), F.lit(1.0)) * 1024).cast("int").alias("_bucket"))
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[str] = ()) -> DataFrame:
-    """Exact linearly interpolated quantiles per group, as a distributed job."""
+    """Exact linearly interpolated quantiles per group in two scans.
+
+    The first counts values by an order-preserving prefix and so finds the cells in which the wanted ranks lie; the second looks at the values of these cells only.
+    """
     by = list(by)
-    counts = value_counts(df, col, by)
-    cum = running_totals(with_bucket(counts, col), [F.col(col)], {"cum": "n"}, by, {"_total": "n"})
-    last = F.col("_total") - 1
-    at = lambda pos: F.min(F.when(F.col("cum") > pos, F.col(col)))
+    keyed, cells = _counted(df, col, by)
+    # a bounded number of cells of each group
+    upto = W.partitionBy(*by).orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cells = cells.select("*", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(W.partitionBy(*by)).alias("_total"))
+    last, before = F.col("_total") - 1, F.col("_upto") - F.col("_n")
+    ranks = F.array(*[f(last * p).cast("bigint") for p in probs.values() for f in (F.floor, F.ceil)])
+    wanted = materialize(cells.withColumn("_before", before).filter(F.exists(ranks, lambda x: (x >= F.col("_before")) & (x < F.col("_upto")))), "cells")
+    inside = running_totals(_inside(keyed, wanted, by), [F.col("_v")], {"cum": "n"}, [*by, "_cell"])
+    named = wanted.select(*[F.col(c).alias(f"_k_{c}") for c in (*by, "_cell")], "_before", "_total")
+    cum = inside.join(named, same_keys(inside, named, [*by, "_cell"])).withColumn("cum", F.col("cum") + F.col("_before"))
+    at = lambda pos: F.min(F.when(F.col("cum") > pos, F.col("_v")))
     aggs = []
     for name, p in probs.items():
         aggs += [at(F.floor(last * p)).alias(f"_lo_{name}"), at(F.ceil(last * p)).alias(f"_hi_{name}"),
@@ -113,18 +146,18 @@ def dense_index(df: DataFrame, id_col: str, by: list[str] = (), name: str = "idx
 
 
 def top_share(df: DataFrame, col: str, percents: list[int]) -> DataFrame:
-    """Share of the total held by the top 1, 5, ... percent of rows (at least one row each).
+    """Share of the total held by the top 1, 5, ... percent of rows (at least one row each), in two scans.
 
-    Works on distinct values: a value group crossing the cut contributes only the part inside it, so
-    no tie has to be broken and no row has to be ranked.
+    Cells above a cut count whole; of the cell that the cut crosses only the distinct values are looked at, and a value group crossing it contributes
+    the part inside, so no tie has to be broken and no row has to be ranked.
     """
-    counts = value_counts(df, col)
-    neg = with_bucket(counts.withColumn("_neg", -F.col(col)), "_neg")
-    cum = running_totals(neg.withColumn("_s", F.col(col) * F.col("n")), [F.col("_neg")], {"cum": "n"}, totals={"_total": "n", "_sum": "_s"})
-    k = F.greatest(F.lit(1), F.expr("_total * pct div 100"))
-    inside = F.least(F.col("n"), F.greatest(F.lit(0), F.col("k") - (F.col("cum") - F.col("n"))))
-    grid = cum.select(
-        "n", "cum", F.col(col).alias("v"), "_total", "_sum",
-        F.explode(F.array(*[F.lit(p) for p in percents])).alias("pct")).withColumn("k", k)
-    return grid.groupBy("pct").agg(
-        F.max("k").cast("bigint").alias("k"), (F.sum(F.col("v") * inside) * 100 / F.max("_sum")).alias("share_pct"))
+    keyed, cells = _counted(df, col, [])
+    down = W.orderBy(F.col("_cell").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)  # a bounded number of cells
+    cells = cells.select("*", F.sum("_n").over(down).alias("_upto"), F.sum("_s").over(down).alias("_above"), F.sum("_n").over(W.partitionBy()).alias("_total"), F.sum("_s").over(W.partitionBy()).alias("_sum"))
+    grid = cells.withColumn("pct", F.explode(F.array(*[F.lit(p) for p in percents]))).withColumn("k", F.greatest(F.lit(1), F.expr("_total * pct div 100")))
+    cut = materialize(grid.filter("k > _upto - _n AND k <= _upto").withColumn("_before", F.col("_upto") - F.col("_n")).withColumn("_above", F.col("_above") - F.col("_s")), "cuts")
+    values = _inside(keyed, cut.dropDuplicates(["_cell"]), []).withColumn("_neg", -F.col("_v")).withColumn("_bucket", -F.col("_bucket"))
+    inside = running_totals(values, [F.col("_neg")], {"cum": "n"}, ["_cell"])
+    each = inside.join(cut.select("_cell", "pct", "k", "_before", "_above", "_sum"), "_cell")
+    part = F.least(F.col("n"), F.greatest(F.lit(0), F.col("k") - F.col("_before") - (F.col("cum") - F.col("n"))))
+    return each.groupBy("pct").agg(F.max("k").cast("bigint").alias("k"), ((F.max("_above") + F.sum(F.col("_v") * part)) * 100 / F.max("_sum")).alias("share_pct"))

@@ -200,3 +200,25 @@ def test_clustered_rows_are_compared_with_few_others(spark, monkeypatch):
     for key, visitors in groups.items():
         seen += N.best_in_group(pa.Table.from_pylist(visitors), pa.Table.from_pylist(held[key]), 3, 9, 1e-6, False, True)[3]
     assert seen < 0.12 * 1200 * 1200
+
+
+def test_quantiles_of_odd_values_and_one_hot_cell(spark):
+    """Negative, tiny, huge, infinite and equal values; a third of all rows in one cell; values closer than a cell."""
+    rng = np.random.default_rng(11)
+    groups = {"mixed": np.concatenate([rng.normal(size=200) * 1e-6, -np.exp(rng.normal(size=200) * 9), np.exp(rng.normal(size=200) * 9), np.full(300, 7.25), [0.0, -0.0, 1e308, -1e308]]),
+              "close": 1000 + rng.random(400) * 1e-7, "equal": np.full(50, -3.5), "one": np.array([2.0]), "infinite": np.array([1.0, np.inf, 5.0])}
+    df = spark.createDataFrame([(g, float(v)) for g, x in groups.items() for v in x] + [("mixed", None), ("mixed", float("nan"))], "g string, v double").repartition(7)
+    probs = {"a": 0.0, "b": 0.013, "c": 0.5, "d": 0.77, "e": 1.0}
+    got = {r.g: r for r in O.exact_quantiles(df, "v", probs, ["g"]).collect()}
+    for g, x in groups.items():
+        if g != "infinite":
+            assert [got[g][n] for n in probs] == pytest.approx([float(np.quantile(x, p)) for p in probs.values()], rel=1e-12, abs=1e-18), g
+    assert got["infinite"].c == 5.0
+    whole = O.exact_quantiles(df.filter("g <> 'infinite'"), "v", {"m": 0.5}).first().m
+    assert whole == pytest.approx(float(np.quantile(np.concatenate([x for g, x in groups.items() if g != "infinite"]), 0.5)), rel=1e-12)
+    for x in (groups["close"], np.concatenate([groups["equal"] * -1, rng.random(70) * 9])):
+        share = {r.pct: (r.k, r.share_pct) for r in O.top_share(spark.createDataFrame([(float(v),) for v in x], "v double").repartition(5), "v", [1, 10, 50]).collect()}
+        down = np.sort(x)[::-1]
+        for p in (1, 10, 50):
+            k = max(1, len(x) * p // 100)
+            assert share[p][0] == k and share[p][1] == pytest.approx(down[:k].sum() * 100 / x.sum(), rel=1e-12)
