@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.fixed_values import COMPLAINT_THEMES
 from ..functions.semantics import any_of, count_true, floor_days, ratio, share_true, sum0
 from ..functions.text import fixed
+from ..session import materialize
+from .joins import left_join
 
 
 def map_with_default(key: Column, mapping: dict[str, str], default: str = "Other") -> Column:
@@ -28,9 +30,11 @@ def with_order_times(orders: DataFrame) -> DataFrame:
 
 def master(orders, items, products, sellers, customers) -> DataFrame:
     """Wide table, left all the way: an order without items stays as one row with null price."""
-    return (with_order_times(orders).join(items, "order_id", "left").join(products, "product_id", "left")
-            .join(sellers, "seller_id", "left").join(customers, "customer_id", "left")
-            .withColumn("revenue", F.col("price") + F.col("freight_value")))
+    wide = with_order_times(orders).join(items, "order_id", "left")
+    # a line of which much is sold, a large seller, a frequent customer: spread; orders without items never meet products and sellers
+    for dimension, key in ((products, "product_id"), (sellers, "seller_id"), (customers, "customer_id")):
+        wide = left_join(materialize(wide, "wide"), dimension, key)
+    return wide.withColumn("revenue", F.col("price") + F.col("freight_value"))
 
 
 def delivered_lines(orders, items, products) -> DataFrame:

@@ -20,7 +20,7 @@ reg = Registry({
     "w_day": "SELECT ts::DATE AS day, sum(value) AS value, count(*) AS n FROM events GROUP BY 1",
     "w_lines3": "\nUNION ALL ".join(sales.REPORT_SQL["r03_delivery_report"]), "w_lines4": "\nUNION ALL ".join(sales.REPORT_SQL["r04_complaint_report"]),
     "w_rep": "SELECT report, string_agg(text, chr(10) ORDER BY section_no, line_no) AS value FROM (SELECT * FROM w_lines3 UNION ALL SELECT * FROM w_lines4) x GROUP BY report",
-    **{k: assist.EXTRA[k] for k in ("w_words", "w_slide0")}, "w_chunks": assist.EXTRA["w_slide"],
+    **{k: assist.EXTRA[k] for k in ("w_words", "w_slide0", "w_class0", "w_class")}, "w_chunks": assist.EXTRA["w_slide"],
 })
 QUERIES, SQL, query = reg.queries, reg.sql, reg.query
 
@@ -59,6 +59,18 @@ def _(s, d):
     return r(Z.customer_state(stream(s, d).select("user_id", "ts", "value")), nudge=["monetary_value"], monetary_value=4)
 
 
+@query("s10_answer_stream", "SELECT conv_id, turn, query_type, metric FROM w_class")
+def _(s, d):
+    """Questions arrive as files, are answered batch by batch and merged by id; the folder holds some of them twice."""
+    from ..operators import router as X
+
+    asked = V.questions(s, d).withColumn("id", F.format_string("%d_%d", "conv_id", "turn"))
+    folder = fresh_path(s, "questions")
+    asked.repartition(3).write.parquet(folder)
+    asked.filter("turn = 0").write.mode("append").parquet(folder)
+    return Z.answered(Z.event_stream(s, folder, files_per_batch=1), X.classify).select("conv_id", "turn", "query_type", "metric")
+
+
 @query("z05_exactly_once", "SELECT event_id, user_id, value FROM events")
 def _(s, d):
     e = lambda: stream(s, d).select("event_id", "user_id", "value", as_instant("ts").alias("ts"))
@@ -125,5 +137,5 @@ def _(s, d):
 def _(s, d):
     p = fresh_path(s, "reports")
     WR.text_reports(sales.QUERIES["r03_delivery_report"](s, d).unionByName(sales.QUERIES["r04_complaint_report"](s, d)), p)
-    back = s.read.schema("value string, report string").text(p, wholetext=True)
-    return back.select("report", F.regexp_replace("value", r"\n$", "").alias("value"))
+    back = s.read.text(p, wholetext=True)
+    return back.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.txt$", 1).alias("report"), F.regexp_replace("value", r"\n$", "").alias("value"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .report_sink import write_reports
+
 
 def csv(df: DataFrame, path: str, columns: list[str] | None = None, rename: dict[str, str] | None = None, digits: int | None = None,
         encoding: str = "UTF-8", mode: str = "errorifexists") -> None:
@@ -25,15 +27,9 @@ def json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).json(path)
 
 
-def report_texts(lines: DataFrame, report: str = "report") -> DataFrame:
-    """Line table to one text per report, in section and line order."""
-    parts = F.array_sort(F.collect_list(F.struct("section_no", "line_no", "text")))
-    return lines.groupBy(report).agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n").alias("value"))
-
-
-def text_reports(lines: DataFrame, path: str, report: str = "report", mode: str = "errorifexists") -> None:
-    """One folder with one text file per report; a report is a printable table, so its lines fit one row."""
-    report_texts(lines, report).repartition(report).write.mode(mode).partitionBy(report).text(path)
+def text_reports(lines: DataFrame, path: str, report: str = "report") -> None:
+    """One text file for each report, lines in section and line order, streamed from the tasks."""
+    write_reports(lines, path, report)
 
 
 def append_results(df: DataFrame, path: str) -> None:

@@ -172,3 +172,23 @@ def deduplicated(events: DataFrame, key: str = "event_id", delay_days: int = 2,
 
     events.writeStream.foreachBatch(save).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(schema).parquet(f"{path}/out").select(*events.columns)
+
+
+def answered(questions: DataFrame, answer, key: str = "id", path: str | None = None) -> DataFrame:
+    """Answers of a stream of questions, one for each id: a batch answers what no earlier batch has answered and is written under its number.
+
+    A batch that is repeated after a crash replaces itself, and a later run with the same ``path`` answers only what is new. Questions without an id are left out.
+    """
+    spark = questions.sparkSession
+    path = path or fresh_path(spark, "answers")
+    schema = answer(spark.createDataFrame([], questions.schema)).schema
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        new = batch.filter(F.col(key).isNotNull()).dropDuplicates([key])
+        if batch_id:
+            known = spark.read.schema(T.StructType([*schema.fields, T.StructField("part", T.LongType())])).parquet(f"{path}/out").filter(F.col("part") < batch_id)
+            new = new.join(known.select(key), key, "left_anti").select(*batch.columns)
+        answer(new).write.mode("overwrite").parquet(f"{path}/out/part={batch_id}")
+
+    questions.writeStream.foreachBatch(save).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(schema).parquet(f"{path}/out")

@@ -72,3 +72,37 @@ def test_copies_in_other_files_and_late_ones_are_found(spark, table, tmp_path):
     got = in_two_runs(spark, str(tmp_path), late, lambda s: Z.deduplicated(s, path=f"{tmp_path}/unique"))
     assert got.count() == 600 and got.select("event_id").distinct().count() == 600
     assert got.columns == list(table.columns)
+
+
+def test_answers_are_given_once_over_files_and_restarts(spark, table, tmp_path):
+    asked = pd.concat([table, table.head(100)])[["event_id", "user_id", "ts"]]
+    seen = []
+
+    def answer(batch):
+        return batch.select(F.col("event_id").alias("id"), (F.col("user_id") * 2).alias("answer"))
+
+    def run(stream):
+        out = Z.answered(stream.withColumn("id", F.col("event_id")), answer, path=f"{tmp_path}/answers")
+        seen.append(out.count())
+        return out
+
+    got = in_two_runs(spark, str(tmp_path), asked, run)
+    assert seen[0] < 600 and got.count() == 600 and got.select("id").distinct().count() == 600
+    assert {r.id: r.answer for r in got.collect()} == dict(zip(table.event_id, table.user_id * 2))
+    assert run(Z.event_stream(spark, f"{tmp_path}/in", files_per_batch=1)).count() == 600  # nothing new: the same table
+
+
+def test_report_sink_streams_lines_in_order_and_names_files_on_commit(spark, tmp_path):
+    from tallyloom.sources import writers as WR
+
+    rows = [(f"r{k}", i // 1000, i % 1000, f"line {i}" if i % 7 else None) for k in range(3) for i in range(5000 if k else 3)]
+    lines = spark.createDataFrame(rows, "report string, section_no int, line_no int, text string").repartition(6)
+    WR.text_reports(lines, f"file:{tmp_path}/out")
+    import os
+
+    assert sorted(os.listdir(tmp_path / "out")) == ["r0.txt", "r1.txt", "r2.txt"]
+    for k in range(3):
+        assert (tmp_path / "out" / f"r{k}.txt").read_text() == "".join((t or "") + "\n" for r, _, _, t in rows if r == f"r{k}")
+    with pytest.raises(Exception):
+        WR.text_reports(lines.withColumn("text", F.raise_error(F.lit("stop"))), f"{tmp_path}/bad")
+    assert not [f for f in os.listdir(tmp_path / "bad")] if os.path.isdir(tmp_path / "bad") else True
