@@ -206,3 +206,30 @@ def test_pipeline_keeps_one_of_rows_that_repeat_id_and_text(spark):
     got = sorted(((r.doc_id, r.text or "") for r in corpus_pipeline.exact(spark, docs, "").collect()), key=repr)
     assert [g for g in got if g[0] in (1, 2, 3, 6)] == [(2, "a"), (3, "b"), (3, "c"), (6, "e")] and (None, "d") in got
     assert sum(g[0] == 5 for g in got) == 1  # a null text is an empty one
+
+
+@pytest.mark.parametrize("entries,width", [(1, 64), (2, 64), (5, 60), (4096, 52), (5000, 64), (300, 12), (4096, 12)])
+def test_quotient_filter_is_lossless_and_as_small_as_its_bits(entries, width):
+    rng = np.random.default_rng(entries)
+    pool = rng.integers(0, 1 << 63, entries * 3, dtype=np.uint64) << np.uint64(1) | rng.integers(0, 2, entries * 3, dtype=np.uint64)
+    numbers = np.unique(pool >> np.uint64(64 - width))[:entries] if (1 << width) > 2 * entries else np.arange(entries, dtype=np.uint64)
+    counts = np.where(rng.random(len(numbers)) < 0.1, rng.integers(2, 1 << 40, len(numbers)), 1)
+    made = E.QuotientFilter.of(numbers, counts, width)
+    back = made.read()
+    assert (back[0] == numbers).all() and (back[1] == counts).all()
+    if entries >= 4096 and width > 20:
+        single = E.QuotientFilter.of(numbers, np.ones(len(numbers), np.int64), width)
+        bits = 8 * single.size() / len(numbers)
+        assert bits <= width - np.log2(len(numbers)) + 1 + 2 + 2.1  # remainder, run end and repeat mark, up to two quotient marks
+
+
+def test_merged_filters_add_up_whatever_their_sizes():
+    rng = np.random.default_rng(3)
+    parts = [np.unique(rng.integers(0, 5000, n).astype(np.uint64)) for n in (1, 10, 900, 4000)]
+    filters = [E.QuotientFilter.of(p, rng.integers(1, 5, len(p)), 40) for p in parts]
+    want = {}
+    for f in filters:
+        for v, n in zip(*(x.tolist() for x in f.read())):
+            want[v] = want.get(v, 0) + n
+    numbers, counts = E.merged(filters)
+    assert dict(zip(numbers.tolist(), counts.tolist())) == want and (np.diff(numbers.astype(np.int64)) > 0).all()
