@@ -4,14 +4,15 @@ Nearness is the inner product. Vectors get one more component that lifts all of
 distance. A table hashes a vector by k functions floor((a.x + b) / w) with Gaussian a. A query visits its own bucket and buckets with
 some functions moved to other cells, in the order of their estimated chance to hold a neighbour; candidates of all tables merge and are ranked by exact scores.
 
-How many buckets to visit is fitted: a bounded sample of queries is compared with all rows, and the number of visits is the smallest one that finds TARGET of the true
-neighbours. Every row is indexed. Equal vectors are one entry that remembers as many of its smallest ids as a result can hold, and a crowded bucket is cut into
+How many buckets all queries visit is fitted: a bounded sample of queries is compared with all rows, and the number of visits is the smallest one that finds TARGET of the true
+neighbours. Then each query judges by its own evidence: at the distance of the last neighbour it found, the estimated chance of the cells it saw must reach TARGET, else it goes on to
+further cells; where all cells within reach are not enough, or hold fewer rows than are asked for, it is compared with all rows, in blocks. Every row is indexed. Equal vectors are one entry that remembers as many of its smallest ids as a result can hold, and a crowded bucket is cut into
 chunks that its visitors all see, so neither a frequent vector nor a crowded bucket is one task's work.
 """
 
 from __future__ import annotations
 
-from itertools import product
+from itertools import combinations, product
 from math import erf
 
 import numpy as np
@@ -25,7 +26,9 @@ from .tables import keep, plain
 TABLES = 2
 WIDTH = 2.0          # cell width in units of the norm
 BUCKET = 2000        # entries of a bucket aimed at
-MOST_FUNCTIONS = 8
+MOST_FUNCTIONS = 20
+FULL_MOVES = 8       # functions up to which all may move at once; of more, MOVED at most
+MOVED = 4
 CHUNK = 8192         # entries of a chunk of a crowded bucket
 SAMPLE = 64          # queries of the fit
 TARGET = 0.96        # share of true neighbours to be found in the fit
@@ -63,6 +66,19 @@ def _entries(found: dict, ids_kept: int):
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.binary(), pa.list_(pa.int64()), pa.int64()))], names=["vec", "ids", "part"])
 
 
+def _moves(functions: int, reach: int) -> np.ndarray:
+    """By how many cells each function's value is moved, for all cells that may be visited; the own cell comes first."""
+    if functions <= FULL_MOVES:
+        return np.array(sorted(product(range(-reach, reach + 1), repeat=functions), key=lambda m: sum(map(abs, m))), np.int64)
+    out = [np.zeros((1, functions), np.int64)]
+    for n in range(1, MOVED + 1):
+        at, signs = np.array(list(combinations(range(functions), n))), np.array(list(product((-1, 1), repeat=n)))
+        part = np.zeros((len(at), len(signs), functions), np.int64)
+        np.put_along_axis(part, np.broadcast_to(at[:, None, :], (len(at), len(signs), n)), np.broadcast_to(signs[None], (len(at), len(signs), n)), axis=2)
+        out.append(part.reshape(-1, functions))
+    return np.concatenate(out)
+
+
 class Tables:
     """The hash functions; ``scale`` is the largest norm."""
 
@@ -72,7 +88,7 @@ class Tables:
         self.a = rng.standard_normal((tables, dimension + 1, functions)) / (WIDTH * scale)
         self.b = rng.uniform(0, 1, (tables, functions))
         self.reach = 2 if functions <= 4 else 1  # cells that a function's value is moved by at most
-        self.moves = np.array(list(product(range(-self.reach, self.reach + 1), repeat=functions)), np.int64)
+        self.moves = _moves(functions, self.reach)
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         return np.concatenate([x, np.sqrt(np.maximum(self.scale ** 2 - (x * x).sum(1), 0))[:, None]], axis=1)
@@ -90,14 +106,17 @@ class Tables:
             h = mix(h * U(0x9E3779B97F4A7C15) + cells[..., j].astype(np.int64).view(U))
         return h.view(np.int64)
 
-    def order(self, at: np.ndarray, apart: float) -> np.ndarray:
-        """For each query place the moves, likeliest first, for a neighbour at the distance ``apart``."""
-        spread = apart / (WIDTH * self.scale)
+    def chances(self, at: np.ndarray, apart) -> np.ndarray:
+        """For each query place the logarithm of each move's chance to hold a neighbour at the distance ``apart`` (one, or one for each query)."""
+        spread = np.maximum(np.broadcast_to(apart, len(at)) / (WIDTH * self.scale), 1e-9)[:, None]
         inside = at - np.floor(at)
         chance = np.stack([_phi((m + 1 - inside) / spread) - _phi((m - inside) / spread) for m in range(-self.reach, self.reach + 1)], axis=2)
         log = np.log(chance + 1e-300)
-        score = sum((log[:, j, :][:, self.moves[:, j] + self.reach] for j in range(self.k)), np.zeros((len(at), len(self.moves))))
-        return np.argsort(-score, axis=1, kind="stable")
+        return sum((log[:, j, :][:, self.moves[:, j] + self.reach] for j in range(self.k)), np.zeros((len(at), len(self.moves))))
+
+    def order(self, at: np.ndarray, apart) -> np.ndarray:
+        """For each query place the moves, likeliest first."""
+        return np.argsort(-self.chances(at, apart), axis=1, kind="stable")
 
 
 def _matrix(column) -> np.ndarray:
@@ -185,6 +204,58 @@ def _visits(tables: Tables, visits: int, apart: float):
     return run
 
 
+def _more(tables: Tables, visits: int, apart: float, scan: bool):
+    """Of queries (cid, vec, worst, few) those (qid, qvec) that no cells within reach can satisfy (``scan``), or the further cells of the others (bucket, qid, qvec).
+
+    ``worst`` is the negative score of the last neighbour found so far. A table's cells are enough when their chances at that distance add up to what TARGET asks of each table.
+    """
+    enough = 1 - (1 - TARGET) ** (1 / tables.tables)
+
+    def run(batches):
+        for batch in batches:
+            for a in range(0, batch.num_rows, 256):
+                rows = batch.slice(a, 256)
+                x, worst, few = _matrix(rows.column(1)), rows.column(2).to_numpy(zero_copy_only=False), np.asarray(rows.column(3).to_pylist(), bool)
+                own = np.sqrt(np.maximum(2 * tables.scale ** 2 + 2 * np.where(few, 0.0, worst) * tables.scale / np.sqrt((x * x).sum(1)), 0))
+                lifted, lost, found = tables.query(x), few.copy(), []
+                for t in range(tables.tables):
+                    at = tables.place(lifted, t)
+                    chance = tables.chances(at, own)
+                    order = np.argsort(-chance, axis=1, kind="stable")
+                    total = np.cumsum(np.exp(np.take_along_axis(chance, order, 1)), axis=1)
+                    lost |= total[:, -1] < enough
+                    need = np.concatenate([np.ones((len(x), 1), bool), total[:, :-1] < enough], axis=1)
+                    wanted = np.zeros_like(need)
+                    np.put_along_axis(wanted, order, need, axis=1)
+                    np.put_along_axis(wanted, tables.order(at, apart)[:, :visits], False, axis=1)  # seen already
+                    found.append((t, at, wanted))
+                if scan:
+                    yield rows.select([0, 1]).rename_columns(["qid", "qvec"]).filter(pa.array(lost))
+                    continue
+                for t, at, wanted in found:
+                    row, move = np.nonzero(wanted & ~lost[:, None])
+                    yield pa.RecordBatch.from_arrays([pa.array(tables.keys(np.floor(at[row]) + tables.moves[move], t)), rows.column(0).take(pa.array(row)), rows.column(1).take(pa.array(row))], names=["bucket", "qid", "qvec"])
+    return run
+
+
+def _met(points: DataFrame, calls: DataFrame, kept: int) -> DataFrame:
+    """(qid, minus, cids) of every pair of a chunk of a bucket's entries and a chunk of its visitors."""
+    many = lambda df, name: df.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias(name))
+    crowd = keep(many(points.select("bucket"), "chunks").join(many(calls.select("bucket"), "visitors"), "bucket"), "buckets")
+    span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    placed = points.join(crowd, "bucket").select("bucket", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int").alias("chunk"), span("visitors").alias("visitor"), "cid", "vec")
+    asked = calls.join(crowd, "bucket").select("bucket", span("chunks").alias("chunk"), F.pmod(F.xxhash64("qid"), F.col("visitors")).cast("int").alias("visitor"), "qid", "qvec")
+    keys = ("bucket", "chunk", "visitor")
+    return placed.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_rank(kept), "qid long, minus array<double>, cids array<long>")
+
+
+def _nearest_entries(ranked: DataFrame, kept: int) -> DataFrame:
+    """(qid, near): the nearest entries of all that were found for a query. Tables find the same entry, perhaps with another last bit of its score: it counts once."""
+    by_entry = ranked.groupBy("qid").agg(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("cids", "minus")))).alias("all"))
+    once = by_entry.select("qid", F.filter("all", lambda x, i: (i == 0) | (F.get("all", i - 1)["cids"] != x["cids"])).alias("all"))
+    return once.select("qid", F.slice(F.array_sort(F.transform("all", lambda x: F.struct(x["minus"].alias("minus"), x["cids"].alias("cids")))), 1, kept).alias("near"))
+
+
 def _rank(n: int):
     """The nearest entries of a bucket's chunk for each query that visits it."""
     def run(points: pa.Table, visitors: pa.Table) -> pa.Table:
@@ -204,8 +275,7 @@ def _rank(n: int):
 def nearest(vectors: DataFrame, neighbours: int = 20, every: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found rows of each row whose id is divisible by ``every``, itself left out.
 
-    Ranked by the inner product of the original vectors in double precision, ties to the smaller id; all rows if there are fewer (up to 2 * BUCKET distinct vectors are
-    compared in full; beyond that a query has fewer than ``neighbours`` only if its visits met fewer). Vectors that are null, zero, or
+    Ranked by the inner product of the original vectors in double precision, ties to the smaller id; a query has fewer than ``neighbours`` only if there are fewer rows. Vectors that are null, zero, or
     have null or non-finite components take no part, nor do those without an id or not of the commonest dimension. Rows that repeat id and vector count once.
     Other columns are ignored; an empty table gives no rows.
     """
@@ -228,19 +298,22 @@ def nearest(vectors: DataFrame, neighbours: int = 20, every: int = 20, id_col: s
     if not sample:
         return vectors.sparkSession.createDataFrame([], result)
     scale = entries.select("vec").mapInArrow(_norms, "n double").agg(F.max("n")).first()[0]
-    # a small table is a single bucket
-    functions = int(np.clip(round(np.log(max(count / BUCKET, 1)) / np.log(2.8)), 1, MOST_FUNCTIONS)) if count > 2 * BUCKET else 0
-    tables = Tables(dimension, functions, scale, TABLES if functions else 1)
+    functions = int(np.clip(round(np.log(max(count / BUCKET, 1)) / np.log(2.8)), 1, MOST_FUNCTIONS))
+    tables = Tables(dimension, functions, scale, TABLES)
     visits, apart = _fit_visits(entries, tables, sample, neighbours)
     points = entries.select("cid", "vec").mapInArrow(_points(tables), "bucket long, cid long, vec binary")
-    crowd = keep(points.groupBy("bucket").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), "buckets")
-    placed = points.join(crowd, "bucket").select("bucket", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int").alias("chunk"), "cid", "vec")
-    calls = queries.mapInArrow(_visits(tables, visits, apart), "bucket long, qid long, qvec binary").join(crowd, "bucket").select("bucket", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "qid", "qvec")
-    ranked = placed.groupBy("bucket", "chunk").cogroup(calls.groupBy("bucket", "chunk")).applyInArrow(_rank(kept), "qid long, minus array<double>, cids array<long>")
-    # tables find the same entry, perhaps with another last bit of its score: an entry counts once
-    by_entry = ranked.groupBy("qid").agg(F.array_sort(F.flatten(F.collect_list(F.arrays_zip("cids", "minus")))).alias("all"))
-    once = by_entry.select("qid", F.filter("all", lambda x, i: (i == 0) | (F.get("all", i - 1)["cids"] != x["cids"])).alias("all"))
-    merged = once.select("qid", F.slice(F.array_sort(F.transform("all", lambda x: F.struct(x["minus"].alias("minus"), x["cids"].alias("cids")))), 1, kept).alias("near"))
+    calls = "bucket long, qid long, qvec binary"
+    first = keep(_nearest_entries(_met(points, queries.mapInArrow(_visits(tables, visits, apart), calls), kept), kept), "found")
+    # each query's own evidence: further cells, or all rows
+    seen = first.select(F.col("qid").alias("cid"), F.element_at("near", -1)["minus"].alias("worst"), (F.size("near") < min(kept, count)).alias("few"))
+    judged = keep(queries.join(seen, "cid", "left").select("cid", "vec", F.coalesce("worst", F.lit(0.0)).alias("worst"), F.coalesce("few", F.lit(True)).alias("few")), "judged")
+    more = _met(points, judged.mapInArrow(_more(tables, visits, apart, False), calls), kept)
+    lost = keep(judged.mapInArrow(_more(tables, visits, apart, True), "qid long, qvec binary"), "lost")
+    blocks = max(1, -(-count // CHUNK))
+    everywhere = lost.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("bucket"), "qid", "qvec")
+    rest = _met(entries.select(F.pmod(F.xxhash64("cid"), F.lit(blocks)).cast("long").alias("bucket"), "cid", "vec"), everywhere, kept) if lost.limit(1).count() else None
+    parts = first.select("qid", F.transform("near", lambda x: x["minus"]).alias("minus"), F.transform("near", lambda x: x["cids"]).alias("cids")).unionByName(more)
+    merged = _nearest_entries(parts if rest is None else parts.unionByName(rest), kept)
     # entries back to rows
     members = merged.select("qid", F.explode("near").alias("x")).join(entries.select(F.col("cid").alias("of"), "ids"), F.col("x.cids") == F.col("of"))
     lists = members.groupBy("qid").agg(F.slice(F.array_sort(F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct(F.col("x.minus").alias("minus"), i.alias("id")))))), 1, 2 * kept).alias("near"))

@@ -238,3 +238,25 @@ def test_pipeline_stages(spark, sf, documents, texts):
     t = Tokenizer.from_file(BYTE)
     rows = corpus_pipeline.run(spark, sf).collect()
     assert packed_right(rows, {i: texts[i] for i in kept[3]}, lambda x: t.encode(x or "", add_special_tokens=False).ids) < 4096
+
+
+def test_scattered_queries_go_on_until_they_have_their_neighbours(spark):
+    """Clusters settle the fit with few cells; rows far from all of them need more, and get all twenty."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 16)) * 3
+    rows = [(i, (centres[i % 60] + rng.normal(size=16) * 0.2).tolist()) for i in range(6000)]
+    rows += [(20_000 + 10 * i, (rng.normal(size=16) * 3).tolist()) for i in range(100)]
+    got = as_lists(M.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)).collect())
+    want = nearest_by_hand(rows)
+    far = {q: w for q, w in want.items() if q >= 20_000}
+    assert set(got) == set(want) and all(len(g) == 20 for g in got.values()) and len(far) == 50
+    assert recall({q: got[q] for q in far}, far) >= 0.9 and recall(got, want) >= 0.9
+
+
+def test_many_functions_move_few_at_a_time():
+    moves = M._moves(12, 1)
+    assert len(np.unique(moves, axis=0)) == len(moves) == sum(__import__("math").comb(12, j) * 2 ** j for j in range(5)) and not moves[0].any()
+    tables = M.Tables(8, 12, 3.0)
+    at = tables.place(tables.query(np.random.default_rng(0).normal(size=(5, 8))), 0)
+    chance = np.exp(tables.chances(at, np.full(5, 1.0)))
+    assert (chance.sum(axis=1) <= 1 + 1e-9).all() and (np.diff(np.take_along_axis(chance, tables.order(at, 1.0), 1), axis=1) <= 1e-15).all()
