@@ -37,19 +37,19 @@ def np_lgamma(x: np.ndarray) -> np.ndarray:
     return 0.5 * math.log(2 * math.pi) + (x + 0.5) * np.log(t) - t + np.log(s) - np.log(x)
 
 
-def np_hyp2f1(a, b, c, z, terms: int = 150) -> np.ndarray:
-    """2F1(a,b;c;z) for |z|<1 by its power series, stopped when no row changes any more."""
+def np_hyp2f1(a, b, c, z, terms: int = 1_000_000) -> np.ndarray:
+    """2F1(a,b;c;z) for |z|<1 by its power series, until no row changes any more; an error if ``terms`` are not enough for that."""
     term = np.ones_like(np.asarray(c * z, dtype=float))
     total = term.copy()
     for k in range(terms):
         term = term * ((a + k) * (b + k) / ((c + k) * (k + 1.0)) * z)
         total = total + term
-        if np.all(np.abs(term) <= 1e-17 * np.abs(total)):
-            break
-    return total
+        if not np.any(np.abs(term) > 1e-17 * np.abs(total)):
+            return total
+    raise ArithmeticError(f"the series has not settled after {terms} terms: z is too close to 1")
 
 
-def hyp2f1_series(a: float, b: float, c: Column, z: Column, terms: int = 150) -> Column:
+def hyp2f1_series(a: float, b: float, c: Column, z: Column) -> Column:
     """2F1 per row; callers pass the transformed, fast-shrinking form.
 
     Arrow batches on purpose: the same series as an array expression runs term by term in the
@@ -57,7 +57,7 @@ def hyp2f1_series(a: float, b: float, c: Column, z: Column, terms: int = 150) ->
     """
     @F.pandas_udf(DoubleType())
     def series(cs: pd.Series, zs: pd.Series) -> pd.Series:
-        return pd.Series(np_hyp2f1(a, b, cs.to_numpy(float), zs.to_numpy(float), terms))
+        return pd.Series(np_hyp2f1(a, b, cs.to_numpy(float), zs.to_numpy(float)))
 
     return series(c, z)
 

@@ -28,13 +28,13 @@ def prob_alive(p: dict = BGNBD) -> Column:
     return F.when(x == 0, F.lit(1.0)).otherwise(1.0 / (1.0 + _dropout(x, _weeks("recency"), _weeks("T"), p)))
 
 
-def expected_purchases(weeks, p: dict = BGNBD, terms: int = 150) -> Column:
+def expected_purchases(weeks, p: dict = BGNBD) -> Column:
     """Expected purchases in the next ``weeks``; Euler-transformed series, whose terms shrink quickly."""
     x, t, T = F.col("frequency"), _weeks("recency"), _weeks("T")
     a = p["a"] if abs(p["a"] - 1.0) > 1e-6 else 1.0 + 1e-6
     s = F.lit(weeks).cast("double") if not isinstance(weeks, Column) else weeks
     z = s / (p["alpha"] + T + s)
-    series = hyp2f1_series(a + p["b"] - 1 - p["r"], a - 1.0, x + (a + p["b"] - 1), z, terms)
+    series = hyp2f1_series(a + p["b"] - 1 - p["r"], a - 1.0, x + (a + p["b"] - 1), z)
     grown = (x + (a + p["b"] - 1)) / (a - 1.0) * (1.0 - F.pow(1.0 - z, F.lit(a - 1.0)) * series)
     return grown / F.when(x > 0, 1.0 + _dropout(x, t, T, {**p, "a": a})).otherwise(F.lit(1.0))
 
@@ -214,7 +214,7 @@ def discounted_value(summary: DataFrame, p: dict, g: dict, months: int = 12, rat
         until = F.col(f"_e{i}")
         total = total + (until - before) / (1 + rate) ** i
         before = until
-    steps = summary.withColumns({f"_e{i}": expected_purchases(i * weeks_per_month, p, 100) for i in range(1, months + 1)})
+    steps = summary.withColumns({f"_e{i}": expected_purchases(i * weeks_per_month, p) for i in range(1, months + 1)})
     return steps.select("customer_id", (total * expected_spend(g)).alias("clv"))
 
 

@@ -148,3 +148,16 @@ def test_working_folder_is_the_one_the_session_names(spark):
     assert spark.conf.get("spark.checkpoint.dir") in shared_dir(spark) and fresh_path(spark, "x") != fresh_path(spark, "x")
     assert materialize(spark.range(3), "three").count() == 3
     assert any("three" in f for f in materialize(spark.range(3), "three").inputFiles())
+
+
+def test_series_goes_on_until_it_settles_or_says_so():
+    from tallyloom.functions.special import np_hyp2f1
+
+    a, b, c, z = 0.5, 1.5, np.array([3.0, 2.5]), np.array([0.99, 0.995])  # far more than 150 terms
+    term = total = np.ones(2)
+    for k in range(20_000):
+        term = term * ((a + k) * (b + k) / ((c + k) * (k + 1.0)) * z)
+        total = total + term
+    assert np.allclose(np_hyp2f1(a, b, c, z), total, rtol=1e-12)
+    with pytest.raises(ArithmeticError):
+        np_hyp2f1(a, b, c, z, terms=150)
