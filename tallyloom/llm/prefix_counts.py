@@ -4,11 +4,15 @@ Byte-pair encodings have a last token for every prefix: the one piece that ends
 of the prefix before it (a pair is valid if merging its joined text gives back just that pair). A dynamic programme over prefixes therefore gives
 count(p) = count(p - len(piece)) + cost(piece) without encoding any prefix. It runs over the words of a batch side by side, as no piece has a space inside; a
 text's counts are those of the words before plus those inside the current word. Questions about truncation and budgets read the counts.
+
+A prefix's last token depends on the last tokens of as many prefixes as a piece has characters. Long words are therefore cut into segments that run side by
+side, each from a guess of the tokens before it; a segment whose guess was wrong runs again from its predecessor's end, until all agree.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from functools import lru_cache
 from itertools import chain
 
@@ -24,10 +28,18 @@ from .vocabulary import PairTable, PieceBPE, merge_words, piece_bpe
 CACHE = 300_000    # words whose counts a worker keeps at hand
 CELLS = 1 << 22    # cells of one group of words in the dynamic programme
 PAIRS = 500_000    # answers about pairs of tokens that a worker keeps
+LONG = 256         # characters from which a word runs in segments
+SEGMENT = 128      # characters of a segment
+BAND = 1 << 13     # segments that run side by side
 FOREIGN = 1 << 24  # id of the first character that is no piece
 _UP = np.array([0x9E3779B97F4A7C15 | 1], U)
 
 
+def byte_cost(codes: np.ndarray) -> np.ndarray:
+    """Bytes of each character in UTF-8."""
+    return 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
+
+
 class PrefixCounter:
     """Counts at all prefixes of words that start with the space mark."""
 
@@ -50,6 +62,8 @@ class PrefixCounter:
             keys = self.hashes(np.array(list(found), np.int64).reshape(len(found), n))[:, -1]
             order = np.argsort(keys)
             self.tails.append((n, keys[order], np.array(list(found.values()), np.int64)[order], U(pow(int(_UP[0]), n, 1 << 64))))
+        self.size = np.ones(max(self.model.texts) + 1, np.int64)
+        self.size[ids] = [len(self.model.texts[i]) for i in ids.tolist()]
         self.remember(np.zeros(0, np.int64), np.zeros(0, bool))
         self.reset()
 
@@ -116,12 +130,19 @@ class PrefixCounter:
         codes = np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), np.uint32).reshape(len(words), width)
         length = np.array([len(w) for w in words], np.int64)
         order = np.argsort(-length, kind="stable")
-        codes, length = codes[order], length[order]
-        rolled = np.concatenate([np.zeros((len(words), 1), U), self.hashes(codes)], axis=1)
         last = np.full((len(words), width + 1), -1, np.int64)
-        count = np.zeros((len(words), width + 1), np.int64)
-        cost = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
-        for i in range(1, width + 1):
+        count = self.fill(codes[order], length[order], last)
+        out = np.empty_like(count)
+        out[order] = count
+        return out
+
+    def fill(self, codes: np.ndarray, length: np.ndarray, last: np.ndarray, known: int = 0) -> np.ndarray:
+        """Fill in the last token of every prefix beyond the ``known`` first characters, longest rows first; returns the counts from there."""
+        width = codes.shape[1]
+        rolled = np.concatenate([np.zeros((len(codes), 1), U), self.hashes(codes)], axis=1)
+        count = np.zeros((len(codes), width + 1), np.int64)
+        cost = byte_cost(codes)
+        for i in range(known + 1, width + 1):
             rows = np.arange(np.searchsorted(-length, -i, side="right"))
             alive = rows  # words whose last n characters end some piece and whose last token isn't found yet
             for n, keys, ids, power in self.tails:
@@ -144,24 +165,95 @@ class PrefixCounter:
             rows = rows[last[rows, i] < 0]
             last[rows, i] = FOREIGN + codes[rows, i - 1]
             count[rows, i] = count[rows, i - 1] + cost[rows, i - 1]
-        out = np.empty_like(count)
-        out[order] = count
+        return count
+
+    def settle(self, rows: list[np.ndarray], seeds: list[bytes]) -> list[np.ndarray]:
+        """Last tokens at all prefixes of words cut into segments: ``rows`` has a word's segments, each with the characters before it, ``seeds`` the last tokens before the word's first one."""
+        back = self.tails[-1][0]
+        fresh = np.full(back, -1, np.int64).tobytes()
+        names = [[r.tobytes() for r in word] for word in rows]
+        ends = [[fresh] * len(word) for word in rows]  # last tokens at a segment's end, as far as they are known
+        found: dict[tuple[bytes, bytes], np.ndarray] = {}
+        while True:
+            ask = {}
+            for word, name, end, seed in zip(rows, names, ends, seeds):
+                for k, row in enumerate(name):
+                    key = row, seed
+                    if key in found:
+                        end[k] = found[key][-back:].tobytes()
+                    else:
+                        ask[key] = word[k]
+                    seed = end[k]
+            if not ask:
+                break
+            codes = np.stack(list(ask.values()))
+            last = np.full((len(codes), codes.shape[1] + 1), -1, np.int64)
+            last[:, 1:back + 1] = np.frombuffer(b"".join(seed for _, seed in ask), np.int64).reshape(-1, back)
+            self.fill(codes, np.full(len(codes), codes.shape[1]), last, back)
+            found.update(zip(ask, last[:, back + 1:]))
+        out = []
+        for name, seed in zip(names, seeds):
+            parts = []
+            for row in name:
+                parts.append(found[row, seed])
+                seed = parts[-1][-back:].tobytes()
+            out.append(np.concatenate(parts))
         return out
 
+    def long_counts(self, words: list[str]) -> list[np.ndarray]:
+        """Counts at all prefixes of each word, exact and in time that grows with its length."""
+        back = self.tails[-1][0]
+        codes = [np.frombuffer(w.encode("utf-32-le"), np.uint32) for w in words]
+        rows = []
+        for c in codes:
+            n = -(-len(c) // SEGMENT)
+            padded = np.concatenate([np.zeros(back, np.uint32), c, np.zeros(n * SEGMENT - len(c), np.uint32)])
+            rows.append(np.lib.stride_tricks.sliding_window_view(padded, back + SEGMENT)[::SEGMENT])
+        last: list[list[np.ndarray]] = [[] for _ in words]
+        group, held = [], 0
+        for w, row in enumerate(rows):
+            for a in range(0, len(row), BAND):
+                # a word's later band starts from the end of the one before
+                if held + min(BAND, len(row) - a) > BAND or a:
+                    self._settle_group(group, last, back)
+                    group, held = [], 0
+                group.append((w, row[a:a + BAND]))
+                held += len(group[-1][1])
+        self._settle_group(group, last, back)
+        out = []
+        for c, parts in zip(codes, last):
+            tokens = np.concatenate(parts)[:len(c)]
+            piece = tokens < FOREIGN
+            size = np.where(piece, self.size[np.where(piece, tokens, 0)], 1)
+            count = [0]
+            for i, (s, n) in enumerate(zip(size.tolist(), np.where(piece, 1, byte_cost(c)).tolist()), 1):
+                count.append(count[i - s] + n)
+            out.append(np.array(count, np.int64))
+        return out
+
+    def _settle_group(self, group: list, last: list, back: int) -> None:
+        seeds = [(last[w][-1][-back:] if last[w] else np.full(back, -1, np.int64)).tobytes() for w, _ in group]
+        for (w, _), tokens in zip(group, self.settle([r for _, r in group], seeds)):
+            last[w].append(tokens)
+
     def learn(self, words: list[str]) -> None:
         words.sort(key=len)
-        a, n = 0, 0
+        a = 0
         counts, sizes = [], []
-        while a < len(words):
+        short = bisect_left(words, LONG, key=len)
+        while a < short:
             width, b = len(words[a]), a + 1
             top = max(width + 3, width * 5 // 4)
-            while b < len(words) and len(words[b]) <= top and (b - a) * top < CELLS:
+            while b < short and len(words[b]) <= top and (b - a) * top < CELLS:
                 b += 1
             size = np.array([len(w) + 1 for w in words[a:b]], np.int64)
             table = self.programme(words[a:b])
             counts.append(table[np.arange(table.shape[1]) < size[:, None]])
             sizes.append(size)
             a = b
+        for count in self.long_counts(words[short:]):
+            counts.append(count)
+            sizes.append([len(count)])
         self.known.update(zip(words, range(len(self.off) - 1, len(self.off) - 1 + len(words))))
         self.counts = np.concatenate([self.counts, *counts])
         self.off = np.concatenate([self.off, self.off[-1] + np.cumsum(np.concatenate(sizes))])
