@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from functools import lru_cache
+from heapq import heapify, heappop, heappush
+from functools import cached_property, lru_cache
 
 import numpy as np
 
@@ -61,6 +62,13 @@ class PairTable:
     def home(self, key):
         return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
+    @cached_property
+    def pairs(self) -> dict[int, tuple[int, int]]:
+        """(rank, result) of each pair, for single lookups."""
+        used = self.keys != -1
+        at = self.at[used]
+        return dict(zip(self.keys[used].tolist(), zip(self.ranks[at].tolist(), self.results[at].tolist())))
+
     def find(self, key: np.ndarray) -> np.ndarray:
         """Positions in ``ranks`` and ``results``; the last position for unknown pairs."""
         out = np.full(len(key), len(self.ranks) - 1, np.int64)
@@ -77,6 +85,38 @@ class PairTable:
 
 
 NEVER = 1 << 60
+ROUNDS = 32      # rounds after which words of more than LONG_WORD symbols leave the common merging
+LONG_WORD = 1024
+
+
+def merge_long(symbols: np.ndarray, table: PairTable) -> np.ndarray:
+    """Merge one long word, best pair first and the leftmost of equals, in time n log n."""
+    pairs, none = table.pairs, (NEVER, -1)
+    sym, n = symbols.tolist(), len(symbols)
+    after, before = [*range(1, n), -1], list(range(-1, n - 1))
+    at = table.find(symbols[:-1] << 32 | symbols[1:])
+    heap = [rank << 40 | i for i, rank in enumerate(table.ranks[at].tolist()) if rank != NEVER]
+    heapify(heap)
+    while heap:
+        top = heappop(heap)
+        i = top & (1 << 40) - 1
+        j = after[i]
+        if sym[i] < 0 or j < 0:
+            continue
+        rank, result = pairs.get(sym[i] << 32 | sym[j], none)
+        if rank != top >> 40:
+            continue  # one of the two has been merged since
+        sym[i], sym[j] = result, -1
+        after[i] = k = after[j]
+        if k >= 0:
+            before[k] = i
+        for left, right in ((before[i], i), (i, k)):
+            if left >= 0 and right >= 0:
+                found = pairs.get(sym[left] << 32 | sym[right])
+                if found:
+                    heappush(heap, found[0] << 40 | left)
+    merged = np.array(sym, np.int64)
+    return merged[merged >= 0]
 
 
 def merge_words(symbols: np.ndarray, offsets: np.ndarray, table: PairTable, single: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -84,9 +124,10 @@ def merge_words(symbols: np.ndarray, offsets: np.ndarray, table: PairTable, sing
 
     Words are segments of ``symbols``; returns the merged symbols and their offsets. Same result as merging each word alone. A round merges all places
     of the best pair, which is the same thing where no merge makes a pair of a better rank; ``single`` merges one place, for tables without that order.
+    Words that are still long after many rounds are finished one by one from a heap.
     """
     word = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    sym, done_sym, done_word = symbols.astype(np.int64), [], []
+    sym, done_sym, done_word, rounds = symbols.astype(np.int64), [], [], 0
     while len(sym):
         same = np.zeros(len(sym), bool)
         same[:-1] = word[1:] == word[:-1]
@@ -111,6 +152,15 @@ def merge_words(symbols: np.ndarray, offsets: np.ndarray, table: PairTable, sing
         alive = ~over
         alive[hit + 1] = False
         sym, word = sym[alive], word[alive]
+        rounds += 1
+        if rounds == ROUNDS and len(sym):
+            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            length = np.diff(np.append(start, len(sym)))
+            for a, n in zip(start[length > LONG_WORD].tolist(), length[length > LONG_WORD].tolist()):
+                done_sym.append(merge_long(sym[a:a + n], table))
+                done_word.append(np.full(len(done_sym[-1]), word[a]))
+            rest = np.repeat(length <= LONG_WORD, length)
+            sym, word = sym[rest], word[rest]
     sym, word = np.concatenate([*done_sym, np.zeros(0, np.int64)]), np.concatenate([*done_word, np.zeros(0, np.int64)])
     order = np.argsort(word, kind="stable")
     out = np.zeros(len(offsets), np.int64)

@@ -28,13 +28,49 @@ def byte_ids():
 
 def test_merging_and_fast_encoder_same_as_library(byte_ids):
     model, fast = byte_bpe(BYTE), fast_encoder(BYTE)
-    assert all(fast.encode_to_numpy(t, allowed_special="all").tolist() == byte_ids(t) for t in ODD)
+    assert all(fast.ids(t).tolist() == byte_ids(t) for t in ODD)
     parts = [b"hello", b" tokenization", b"aaaaaaaaa", "中文".encode(), b"x"]
     off = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     ids, at = merge_words(model.of_byte[np.frombuffer(b"".join(parts), np.uint8)], off, model.table)
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [byte_ids(p.decode()) for p in parts]
 
 
+def long_words(n):
+    """Long words without blanks: random, repeating with several periods, of few characters, mixed."""
+    rng, low = random.Random(7), "abcdefghijklmnopqrstuvwxyz"
+    draw = lambda letters, k: "".join(rng.choices(letters, k=k))
+    return [draw(low, n), draw(low + low.upper() + "0123456789+/", n), "a" * n, ("abcdefg" * n)[:n], ("the" * n)[:n], draw("acgt", n), draw("中文字符人大的", n), draw("é中\U0001f600a", n),
+            " " * n, draw(low, n) + " " + draw("acgt", 300) + " " * 999 + draw(low, 257)]
+
+
+@pytest.mark.parametrize("band", [3, 1 << 13])
+def test_long_words_have_the_counts_of_the_library_at_every_prefix(band, monkeypatch):
+    monkeypatch.setattr(C, "BAND", band)
+    sp, counter, rng = sentencepiece.SentencePieceProcessor(model_file=PIECE), C.PrefixCounter(PIECE), random.Random(3)
+    texts = long_words(3000) + ["x" * n for n in (254, 255, 256, 257, 383, 384, 385)]
+    total, at, off = counter.totals(texts)
+    assert total.tolist() == [len(sp.encode(t)) for t in texts]
+    for i, t in enumerate(texts):
+        counts = counter.prefix_counts(at[off[i]:off[i + 1]])
+        assert len(counts) == len(t) + 1
+        assert all(counts[p] == len(sp.encode(t[:p])) for p in rng.sample(range(len(t) + 1), 40))
+
+
+def test_long_words_have_the_ids_of_the_library(byte_ids):
+    texts = long_words(20_000)
+    ids, off = L.split_ids(texts, byte_bpe(BYTE))
+    assert all(ids[a:b].tolist() == byte_ids(t) for a, b, t in zip(off[:-1], off[1:], texts))
+
+
+def test_a_million_characters_without_blanks(spark, byte_ids):
+    """Work grows with the length, so such a row does not hold up a task for minutes."""
+    sp, words = sentencepiece.SentencePieceProcessor(model_file=PIECE), long_words(1_000_000)[:3]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in C.token_counts(docs, PIECE).collect()} == {i: len(sp.encode(t)) for i, t in enumerate(words)}
+    rows = L.encode(docs, BYTE, L.compile_lexicon(docs, BYTE)).collect()
+    assert all(r.ids == byte_ids(words[r.doc_id]) for r in rows) and len(rows) == 3
+
+
 def test_automaton_is_minimal_and_numbers_its_words():
     words = sorted({w.encode() for w in ("tap taps top tops stop stops zap zaps a tapestry " + " ".join(f"pre{i}fix" for i in range(50))).split()})
     keys, targets, skips, final = L.minimal_automaton(words)
