@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import attribution as A, cleaning as C, fitting as FT, models as ML, resample as R, splits as P, threshold as T
+from ..operators import attribution as A, cleaning as C, clv, fitting as FT, models as ML, resample as R, splits as P, threshold as T
 from ..operators.metrics import METRICS, compare_models, score_units
 from ..session import materialize
 from . import customer_value as CV, detection as DT
@@ -49,6 +49,52 @@ def _(s, d):
     return r(_params(s, *FT.fit_spend(C.repeat_buyers(eligible(s, d)))), value=2)
 
 
+# --- from fitted models to scores and report ---
+
+_VALUED: dict = {}
+
+
+def value_chain(s, d):
+    """(purchase parameters, spend parameters, scored customers): the swept penalty's purchase model and the fitted spend model score every customer. One fit a session and folder."""
+    key = s.sparkContext.applicationId, d
+    if key not in _VALUED:
+        rows = materialize(CV.summary(s, d), "value-summary")
+        old_enough = rows.filter(F.col("T") >= 90)
+        best = FT.penalty_sweep(old_enough).filter("chosen").first()
+        p, g = {k: best[k] for k in FT.PURCHASE_NAMES}, FT.fit_spend(C.repeat_buyers(old_enough))[0]
+        _VALUED[key] = p, g, materialize(clv.score(rows, p, g).withColumn("at_risk", clv.at_risk()), "fitted-values")
+    return _VALUED[key]
+
+
+@query("c07_fitted_scores")
+def _(s, d):
+    """Every customer with the parameters that scored it, so that any engine can recompute the figures."""
+    p, g, scored = value_chain(s, d)
+    fitted = [F.lit(float(v)).alias(f"{model}_{k}") for model, names in (("purchase", p), ("spend", g)) for k, v in names.items()]
+    return scored.select("customer_id", "frequency", "recency", "T", "monetary_value", "predicted_purchases", "expected_avg_spend", "cltv_90d", "prob_alive", "at_risk", *fitted)
+
+
+@query("c09_fitted_segments")
+def _(s, d):
+    return r(clv.segment(value_chain(s, d)[2]).select("customer_id", "cltv_90d", "cltv_segment"), cltv_90d=4)
+
+
+@query("c10_fitted_report")
+def _(s, d):
+    return r(clv.validation_report(value_chain(s, d)[2]), predicted_purchases_90d=6, expected_avg_spend=3, cltv_90d=4)
+
+
+@query("c12_fitted_tier_shares")
+def _(s, d):
+    return r(clv.tier_shares(value_chain(s, d)[2]), revenue_pct=6, customer_pct=6)
+
+
+@query("a21_fitted_shrinkage")
+def _(s, d):
+    _p, g, scored = value_chain(s, d)
+    return r(clv.shrinkage_check(scored, g), observed=3, predicted=3, shrinkage=6, theory=6)
+
+
 LEAF_WISE = {"rounds": 25, "rate": 0.3}  # a level of a tree is a job: fewer, stronger trees
 
 
