@@ -58,15 +58,19 @@ def test_shares_are_of_repeat_buyers_and_sum_up(chain, con):
     assert set(shares["tier"]) == {t for t, in con.execute("SELECT DISTINCT tier FROM w_report WHERE tier <> 'Unscored'").fetchall()}
 
 
-def test_fitted_model_fits_better_than_the_fixed_one(spark, sf, scores):
+def test_fitted_model_minimises_the_chosen_penalised_objective(spark, sf, scores):
+    """A penalised fit need not have the higher likelihood, but no other parameters may have the better objective."""
     from pyspark.sql import functions as F
     from tallyloom.operators import fitting as FT
     from tallyloom.plans import fitted
 
     p = {k: float(scores.iloc[0][f"purchase_{k}"]) for k in FT.PURCHASE_NAMES}
     rows = fitted.eligible(spark, sf)
-    total = lambda q: FT.log_likelihood(rows, q).agg(F.sum("ll")).first()[0]
-    assert total(p) > total(CV.MODEL)
+    coef = FT.penalty_sweep(rows).filter("chosen").first()["coef"]
+    others = [CV.MODEL, *({**p, k: p[k] * f} for k in ("r", "alpha") for f in (0.8, 1.25))]
+    mean = lambda q: FT.log_likelihood(rows, q).select(F.lit(1).alias("one"), "ll").groupBy("one").agg(F.avg("ll").alias("m")).first()["m"]
+    objective = lambda q: coef * sum(v * v for v in q.values()) - mean(q)
+    assert all(objective(p) < objective(q) for q in others)
 
 
 def test_shrinkage_theory_is_that_of_the_fitted_spend_model(chain, scores):
