@@ -222,3 +222,11 @@ def test_quantiles_of_odd_values_and_one_hot_cell(spark):
         for p in (1, 10, 50):
             k = max(1, len(x) * p // 100)
             assert share[p][0] == k and share[p][1] == pytest.approx(down[:k].sum() * 100 / x.sum(), rel=1e-12)
+
+
+def test_neighbour_rows_are_written_once(spark, monkeypatch):
+    names, real = [], N.materialize
+    monkeypatch.setattr(N, "materialize", lambda df, name: (names.append((name, "parquet" in df._jdf.queryExecution().optimizedPlan().toString())), real(df, name))[1])
+    rows = spark.range(60).selectExpr("id", "array(cast(id as double), cast(id % 7 as double)) as v")
+    assert N.k_neighbours(rows, 3, "id", "v").count() == 180
+    assert ("rows", False) in names and dict(names)["queries"] and dict(names)["points"]  # asked and found rows are read back
