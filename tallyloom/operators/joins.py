@@ -43,19 +43,15 @@ def heavy_hitters(df: DataFrame, key: str, share: float = HOT_SHARE, capacity: i
     return sorted(r["key"] for r in merged.filter((~F.col("whole")) & (F.col("n") >= rows * (share - 1 / capacity)) & (F.col("n") > 0)).collect())
 
 
-def left_join(facts: DataFrame, dimension: DataFrame, key: str, share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
+def left_join(facts: DataFrame, dimension: DataFrame, key: str, share: float = HOT_SHARE, salts: int = SALTS, hot: list | None = None) -> DataFrame:
     """``facts`` LEFT JOIN ``dimension`` USING (key), the same rows as a plain join.
 
-    Rows without a key never meet the dimension; those of hot keys are dealt to ``salts`` places, to each of which their few dimension rows are copied; all others join as usual.
+    One join by key and salt, so that ``facts`` are read once: rows without a key and rows of hot keys are dealt to ``salts`` places, to each of which the few dimension rows of
+    the hot keys are copied; all other rows have salt 0. ``hot``: the hot keys, where they are known; else they are looked for.
     """
-    others = [c for c in dimension.columns if c != key]
-    hot = heavy_hitters(facts, key, share)
-    bare = facts.filter(F.col(key).isNull()).select(key, *[c for c in facts.columns if c != key], *[F.lit(None).cast(dimension.schema[c].dataType).alias(c) for c in others])
+    hot = heavy_hitters(facts, key, share) if hot is None else hot
     among = F.col(key).isin(hot) if hot else F.lit(False)
-    usual = facts.filter(F.col(key).isNotNull() & ~among).join(dimension.filter(~among), key, "left")
-    out = usual.unionByName(bare)
-    if hot:
-        dealt = facts.filter(among).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-        copies = dimension.filter(among).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        out = out.unionByName(dealt.join(copies, [key, "_salt"], "left").drop("_salt"))
-    return out
+    dealt = facts.withColumn("_salt", F.when(F.col(key).isNull() | among, F.pmod(F.monotonically_increasing_id(), F.lit(salts))).otherwise(0).cast("int"))
+    places = F.when(among, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))) if hot else F.array(F.lit(0))
+    copies = dimension.filter(F.col(key).isNotNull()).withColumn("_salt", F.explode(places))
+    return dealt.join(copies, [key, "_salt"], "left").drop("_salt")

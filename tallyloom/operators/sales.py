@@ -8,7 +8,7 @@ from ..functions.fixed_values import COMPLAINT_THEMES
 from ..functions.semantics import any_of, count_true, floor_days, ratio, share_true, sum0
 from ..functions.text import fixed
 from ..session import materialize
-from .joins import left_join
+from .joins import heavy_hitters, left_join
 
 
 def map_with_default(key: Column, mapping: dict[str, str], default: str = "Other") -> Column:
@@ -30,10 +30,9 @@ def with_order_times(orders: DataFrame) -> DataFrame:
 
 def master(orders, items, products, sellers, customers) -> DataFrame:
     """Wide table, left all the way: an order without items stays as one row with null price."""
-    wide = with_order_times(orders).join(items, "order_id", "left")
-    # a line of which much is sold, a large seller, a frequent customer: spread; orders without items never meet products and sellers
-    for dimension, key in ((products, "product_id"), (sellers, "seller_id"), (customers, "customer_id")):
-        wide = left_join(materialize(wide, "wide"), dimension, key)
+    # a line of which much is sold, a large seller, a frequent customer: spread; the narrow sides get their attributes before the wide rows are made, so these move once
+    lines = left_join(left_join(items, products, "product_id"), sellers, "seller_id", hot=heavy_hitters(items, "seller_id"))
+    wide = left_join(with_order_times(orders), customers, "customer_id", hot=heavy_hitters(orders, "customer_id")).join(lines, "order_id", "left")
     return wide.withColumn("revenue", F.col("price") + F.col("freight_value"))
 
 

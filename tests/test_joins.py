@@ -43,3 +43,15 @@ def test_same_rows_as_a_plain_join_and_the_hot_key_is_spread(spark):
         for c, v in old.items():
             spark.conf.set(c, v)
     assert J.left_join(f.limit(0), d, "k").count() == 0 and J.left_join(f, d.limit(0), "k").count() == 4000
+
+
+def test_facts_are_read_once_and_known_hot_keys_give_the_same_rows(spark, tmp_path):
+    f = facts(spark)
+    d = spark.createDataFrame([(7, "seven"), (7, "again"), *[(k, f"d{k}") for k in range(100, 700)], (None, "none")], "k long, name string")
+    path = str(tmp_path / "facts")
+    f.write.parquet(path)
+    want = sorted(map(tuple, f.join(d, "k", "left").collect()), key=repr)
+    for hot in (None, [], [7], [7, 100, 5000]):
+        got = J.left_join(spark.read.parquet(path), d, "k", hot=hot)
+        assert sorted(map(tuple, got.collect()), key=repr) == want
+        assert str(got._jdf.queryExecution().optimizedPlan()).count("parquet") == 1, "a branch for each kind of key reads and moves the facts again"
