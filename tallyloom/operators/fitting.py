@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.fixed_values import PENALTIES
 from ..functions.special import np_lgamma
-from ..session import materialize
+from ..session import materialize, spread
 
 FLOOR = 1e-9
 
@@ -22,18 +22,22 @@ FLOOR = 1e-9
 def bgnbd_ll(th: np.ndarray, x, t, T) -> np.ndarray:
     """Log-likelihood matrix (candidates x rows) of the purchase model; th columns are r, alpha, a, b."""
     r, al, a, b = (th[:, i:i + 1] for i in range(4))
-    a1 = np_lgamma(r + x) - np_lgamma(r) + r * np.log(al)
-    a2 = np_lgamma(a + b) + np_lgamma(b + x) - np_lgamma(b) - np_lgamma(a + b + x)
-    a3 = -(r + x) * np.log(al + T)
-    a4 = np.where(x > 0, np.log(a) - np.log(b + np.maximum(x, 1) - 1) - (r + x) * np.log(al + t), -np.inf)
+    # frequencies and days are few: what depends on one of them alone is worked out once for each value
+    (few, at), (ends, at_t), (ages, at_T) = (np.unique(c, return_inverse=True) for c in (x, t, T))
+    a1 = np_lgamma(r + few) - np_lgamma(r) + r * np.log(al)
+    a2 = np_lgamma(a + b) + np_lgamma(b + few) - np_lgamma(b) - np_lgamma(a + b + few)
+    a3 = -(r + x) * np.take(np.log(al + ages), at_T, axis=1)
+    dropped = np.take(np.log(a) - np.log(b + np.maximum(few, 1) - 1), at, axis=1)
+    a4 = np.where(x > 0, dropped - (r + x) * np.take(np.log(al + ends), at_t, axis=1), -np.inf)
     top = np.maximum(a3, a4)
-    return a1 + a2 + top + np.log(np.exp(a3 - top) + np.exp(a4 - top))
+    return np.take(a1 + a2, at, axis=1) + top + np.log(np.exp(a3 - top) + np.exp(a4 - top))
 
 
 def gamma_gamma_ll(th: np.ndarray, x, m, _unused) -> np.ndarray:
     p, q, v = (th[:, i:i + 1] for i in range(3))
-    return (np_lgamma(p * x + q) - np_lgamma(p * x) - np_lgamma(q) + q * np.log(v) + (p * x - 1) * np.log(m) + p * x * np.log(x)
-            - (p * x + q) * np.log(x * m + v))
+    few, at = np.unique(x, return_inverse=True)
+    known = np_lgamma(p * few + q) - np_lgamma(p * few) - np_lgamma(q) + q * np.log(v)
+    return np.take(known, at, axis=1) + (p * x - 1) * np.log(m) + p * x * np.log(x) - (p * x + q) * np.log(x * m + v)
 
 
 def likelihood_sums(table: DataFrame, ll, candidates: np.ndarray) -> np.ndarray:
@@ -141,12 +145,12 @@ def minimise(table: DataFrame, ll, start: list[float], penalties=(0.0,), tol: fl
 def purchase_table(summary: DataFrame) -> DataFrame:
     """Training rows in weeks, equal histories collapsed to a weight; written once for all rounds."""
     t = summary.groupBy(F.col("frequency").alias("c1"), (F.col("recency") / 7.0).alias("c2"), (F.col("T") / 7.0).alias("c3")).agg(F.count("*").alias("w"))
-    return materialize(t, "purchase-histories")
+    return spread(materialize(t, "purchase-histories"), "spread-purchase-histories")
 
 
 def spend_table(repeat_buyers: DataFrame) -> DataFrame:
     t = repeat_buyers.groupBy(F.col("frequency").alias("c1"), F.col("monetary_value").alias("c2"), F.lit(0.0).alias("c3")).agg(F.count("*").alias("w"))
-    return materialize(t, "spend-histories")
+    return spread(materialize(t, "spend-histories"), "spread-spend-histories")
 
 
 PURCHASE_NAMES, PURCHASE_START = ("r", "alpha", "a", "b"), [1.0, 10.0, 1.0, 2.0]

@@ -161,3 +161,19 @@ def test_series_goes_on_until_it_settles_or_says_so():
     assert np.allclose(np_hyp2f1(a, b, c, z), total, rtol=1e-12)
     with pytest.raises(ArithmeticError):
         np_hyp2f1(a, b, c, z, terms=150)
+
+
+def test_likelihood_works_out_a_frequency_and_a_day_once(monkeypatch):
+    from tallyloom.operators import fitting as FT
+
+    seen, rng = [], np.random.default_rng(5)
+    monkeypatch.setattr(FT, "np_lgamma", lambda x: seen.append(np.size(x)) or special.np_lgamma(x))
+    x, T = np.arange(4000) % 5.0, rng.integers(90, 900, 4000) / 7.0
+    t, th = np.where(x > 0, T / 2, 0.0), np.exp(rng.normal(size=(3, 4)))
+    many = FT.bgnbd_ll(th, x, t, T)
+    assert max(seen) == 3 * 5
+    seen.clear()
+    one = np.array([[FT.bgnbd_ll(th[i:i + 1], x[j:j + 1], t[j:j + 1], T[j:j + 1])[0, 0] for j in range(0, 4000, 97)] for i in range(3)])
+    assert np.allclose(many[:, ::97], one, rtol=1e-12)
+    spend, single = FT.gamma_gamma_ll(th[:, :3], x + 1, T, 0 * T), FT.gamma_gamma_ll(th[:, :3], x[7:8] + 1, T[7:8], T[7:8])
+    assert np.allclose(spend[:, 7:8], single, rtol=1e-12)
