@@ -293,3 +293,19 @@ def test_rare_rows_can_be_learnt_and_ranked_exactly(spark, sf):
     wins = (pos[:, None] > neg[None, :]).mean() + 0.5 * (pos[:, None] == neg[None, :]).mean()
     got = M.metric_suite(spark.createDataFrame(scored), 0.5, score="score").first()
     assert got.roc_auc == pytest.approx(wins, abs=1e-12) and wins > 0.8
+
+
+def test_rows_on_both_sides_are_compared_whole_in_parts_of_bounded_size(spark, monkeypatch):
+    from tallyloom import session
+    from tallyloom.operators.splits import row_overlap
+
+    monkeypatch.setattr(session, "SPREAD_FROM", 4)  # parts of 20 rows
+    none, nan = None, float("nan")
+    shared = [(1.0, "a"), (1.0, "a"), (0.0, "z"), (nan, "n"), (none, "x"), (none, none)]
+    train = spark.createDataFrame([*shared, (2.0, none), *((float(i), "t") for i in range(300))], "x double, y string")
+    test = spark.createDataFrame([(1.0, "a"), (-0.0, "z"), (nan, "n"), (none, "x"), (none, none), (none, none), (none, "2"), *((float(i), "u") for i in range(93))], "x double, y string")
+    found = row_overlap(train, test, ["x", "y"])
+    assert found.first()["overlap"] == train.intersect(test).count() == 5
+    assert row_overlap(train, test.limit(0), ["x", "y"]).first()["overlap"] == 0
+    # 407 rows, 20 a part: rows are dealt to as many tasks before they are grouped
+    assert "hashpartitioning(_h" in (plan := found._jdf.queryExecution().toString()) and ", 21), REPARTITION_BY_NUM" in plan
