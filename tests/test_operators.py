@@ -309,3 +309,37 @@ def test_rows_on_both_sides_are_compared_whole_in_parts_of_bounded_size(spark, m
     assert row_overlap(train, test.limit(0), ["x", "y"]).first()["overlap"] == 0
     # 407 rows, 20 a part: rows are dealt to as many tasks before they are grouped
     assert "hashpartitioning(_h" in (plan := found._jdf.queryExecution().toString()) and ", 21), REPARTITION_BY_NUM" in plan
+
+
+# --- fits side by side ---
+
+def test_importance_fits_its_models_side_by_side(spark, monkeypatch):
+    import threading
+    from types import SimpleNamespace
+
+    from tallyloom.plans import fitted
+
+    here = threading.Barrier(3, timeout=20)  # broken unless all three fits are under way at a time
+
+    class Waiting:
+        def __init__(self, j):
+            self.j = j
+
+        def fit(self, _train):
+            here.wait()
+            return SimpleNamespace(coefficients=SimpleNamespace(toArray=lambda: np.eye(len(fitted.FEATURES))[self.j]))
+
+    names = ("logistic_regression", "random_forest", "boosted_trees_a", "boosted_trees_b")
+    monkeypatch.setattr(fitted, "_assembled", lambda s, d: (s.range(3), None, None))
+    monkeypatch.setattr(ML, "classifiers", lambda **_: {k: Waiting(j) for j, k in enumerate(names)})
+    got = {x["feature"]: x for x in fitted.QUERIES["m09_feature_importance"](spark, "").collect()}
+    assert [got[fitted.FEATURES[j]][k] for j, k in enumerate(names) if k != "boosted_trees_a"] == [1.0, 1.0, 1.0]
+
+
+def test_the_forest_is_the_same_with_rows_that_keep_their_nodes(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": rng.normal(size=400), "b": rng.normal(size=400)}).assign(label=lambda x: (x.a + 0.3 * rng.normal(size=400) > 0).astype(int), w=1.0)
+    x = ML.assemble(spark.createDataFrame(pdf), ["a", "b"], keep=["w"]).withColumnRenamed("w", "weight").cache()
+    forest = ML.classifiers(trees=5)["random_forest"]
+    assert forest.getCacheNodeIds()
+    assert forest.fit(x).toDebugString.split("\n")[1:] == forest.copy().setCacheNodeIds(False).fit(x).toDebugString.split("\n")[1:]
