@@ -30,7 +30,7 @@ from .tables import components, keep, likely_among, plain
 GROWTH = 1.5        # width of a size band
 FEW = 16            # up to so many documents of a block are tied pair by pair
 SPARE = 0.02        # blocks added to the bound, as a share of it; and one more
-TILE_ROWS = 256     # documents of one side of a tile
+TILE_ROWS = 1024    # documents of one side of a tile; a member's text is sent to each chunk it meets, so larger chunks move less
 TILE_GRAMS = 1 << 20  # n-grams of one side of a tile, about
 GRAMS_A_BLOCK = 9   # n-grams of a block, at most on average, when only a number of blocks is taken
 EXACT_GRAMS = 63    # bands of sets of fewer n-grams than this are searched exactly even then
@@ -289,12 +289,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     heads = named.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"))
     copies = keep(named.join(heads, ["n", "h1", "h2"]).select("id", "rep", "n").distinct(), "copies")
     lone = copies.filter("id = rep").groupBy("id").agg(F.max("n").alias("n"))
-    # block members; of equal sets only one
-    keyed = marks.filter("id IS NOT NULL").select("id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("many")).filter("many > 1").select("key")
-    blocked = keep(keyed.join(shared, "key").join(lone.select("id"), "id").select("key", "id").distinct(), "blocked")
+    # block members; of equal sets only one, whose keys alone are moved, and once: counting them and finding the shared ones read the same exchange
+    keyed = marks.filter("id IS NOT NULL").join(lone.select("id"), "id", "left_semi").select("id", F.explode("keys").alias("key"))
+    blocked = keyed.repartition("key").groupBy("key", "id").agg(F.count("*").alias("rows"))
     sizes = blocked.groupBy("key").agg(F.count("*").alias("many"), F.min("id").alias("head")).filter("many > 1")
-    ranked = blocked.join(sizes, "key")
+    ranked = keep(blocked.join(sizes, "key").select("key", "id", "many", "head"), "blocked")
     heavy = ranked.filter((F.col("many") > FEW) & (F.col("id") > F.col("head"))).select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
     groups = ranked.filter(F.col("many") <= FEW).groupBy("key").agg(F.array_sort(F.collect_list("id")).alias("ids")).select("ids").distinct()
     pairs = groups.select(F.explode(F.flatten(F.transform("ids", lambda x, i: F.transform(F.filter("ids", lambda y: y > x), lambda y: F.struct(x.alias("a"), y.alias("b")))))).alias("p")).select("p.a", "p.b").distinct()

@@ -187,6 +187,24 @@ def test_large_families_are_cut_into_bands_and_chunks(spark, monkeypatch):
     assert seen[2, "0-0-0-0"] == {100, 101} and not any(f == 3 for f, _ in seen)
 
 
+def test_keys_are_moved_once_and_for_one_of_equal_sets(spark, monkeypatch):
+    plans, keep = {}, J.keep
+    monkeypatch.setattr(J, "keep", lambda df, name: (plans.__setitem__(name, df), keep(df, name))[1])
+    words = [" ".join(f"w{i}x{j}" for j in range(60)) for i in range(4)]
+    rows = [(i, words[i % 3]) for i in range(30)] + [(50, words[0] + " more"), (60, words[3])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), k=3, similarity=(9, 10)).collect()}
+    assert got == groups_by_hand(rows, 3, 9, 10)
+    assert {r.id for r in plans["blocked"].select("id").distinct().collect()} == {0, 50}
+    plan = plans["blocked"]._jdf.queryExecution().optimizedPlan().toString()
+    before_rows_of_keys = plan[plan.index("Generate explode(keys"):]
+    assert "LeftSemi" in before_rows_of_keys and plan.count("RepartitionByExpression [key") == 2  # the same exchange, for both sides of the join
+
+
+def test_a_family_of_a_thousand_is_sent_once(spark):
+    members = spark.createDataFrame([(i, 100, 1) for i in range(1000)], "id long, n long, family long")
+    assert J._tiles(members, 9, 10).count() == 1000
+
+
 @pytest.mark.parametrize("num", [4, 6, 9])
 def test_subsets_of_the_largest_allowed_ratio_are_linked(spark, num):
     """A set and a part of it whose similarity is just enough: the sizes lie several bands apart at low similarities."""
