@@ -343,3 +343,38 @@ def test_the_forest_is_the_same_with_rows_that_keep_their_nodes(spark):
     forest = ML.classifiers(trees=5)["random_forest"]
     assert forest.getCacheNodeIds()
     assert forest.fit(x).toDebugString.split("\n")[1:] == forest.copy().setCacheNodeIds(False).fit(x).toDebugString.split("\n")[1:]
+
+
+def test_many_synthetic_rows_are_made_beside_their_rare_row_and_equal_the_joined_ones(spark, monkeypatch):
+    from tallyloom.operators import resample
+
+    rows = [(i, float(i * i % 17), float(i % 5), int(i % 40 == 0)) for i in range(300)] + [(40, 3.5, 1.0, 1), (600, 1.0, None, 0)]  # a repeated rare id, a missing value
+    df = spark.createDataFrame(rows, "id long, x double, y double, label int")
+    taken = lambda: resample.oversample(df, "id", ["x", "y"])
+    listed = lambda one: sorted(map(tuple, one.collect()), key=repr)
+    joined = listed(taken())
+    monkeypatch.setattr(resample, "SPREAD_FROM", 10)
+    monkeypatch.setattr(resample, "STEP", 3)
+    made = taken()
+    assert listed(made) == joined and len(joined) > 500
+    assert "Range (" not in made._jdf.queryExecution().optimizedPlan().toString()  # no row is made apart from its rare row and moved to it
+    assert resample.sizes_after(df)[1] == resample.sizes_after(df)[2] - len(rows)
+
+
+def test_rows_are_not_moved_by_class_to_meet_the_cuts(spark):
+    from tallyloom.operators import splits
+
+    df = spark.range(2000).select("id", (F.col("id") % 7 == 0).cast("int").alias("label"))
+    few, many = (splits.stratified_split(df, "id", many=x) for x in (False, True))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    assert "strategy=broadcast" in many._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_large_tables_are_written_once_in_equal_parts(spark, monkeypatch):
+    from tallyloom import session
+
+    names, write = [], session.materialize
+    monkeypatch.setattr(session, "materialize", lambda df, name: (names.append(df.rdd.getNumPartitions()), write(df, name))[1])
+    df = spark.range(1000).coalesce(1)
+    assert session.materialize_spread(df, 10, "small", "id").count() == session.materialize_spread(df, session.SPREAD_FROM, "large", "id").count() == 1000
+    assert names == [1, spark.sparkContext.defaultParallelism]
