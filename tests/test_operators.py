@@ -378,3 +378,8 @@ def test_large_tables_are_written_once_in_equal_parts(spark, monkeypatch):
     df = spark.range(1000).coalesce(1)
     assert session.materialize_spread(df, 10, "small", "id").count() == session.materialize_spread(df, session.SPREAD_FROM, "large", "id").count() == 1000
     assert names == [1, spark.sparkContext.defaultParallelism]
+
+
+def test_rows_keep_their_nodes_only_where_these_fit_into_memory(spark):
+    kept = lambda rows: ML.classifiers(rows=rows)["random_forest"].getCacheNodeIds()
+    assert kept(None) and kept(1_000_000) and not kept(60_000_000)
