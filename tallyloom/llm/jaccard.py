@@ -290,7 +290,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies = keep(named.join(heads, ["n", "h1", "h2"]).select("id", "rep", "n").distinct(), "copies")
     lone = copies.filter("id = rep").groupBy("id").agg(F.max("n").alias("n"))
     # block members; of equal sets only one, whose keys alone are moved, and once: counting them and finding the shared ones read the same exchange
-    keyed = marks.filter("id IS NOT NULL").join(lone.select("id"), "id", "left_semi").select("id", F.explode("keys").alias("key"))
+    maybe, firsts = likely_among(marks.filter("id IS NOT NULL").select("id", "keys"), "id", copies.filter("id <> rep").select("id"))
+    firsts = firsts.unionByName(maybe.join(lone.select("id"), "id", "left_semi"))  # only lists of keys that may be a copy's are moved for this
+    keyed = firsts.select("id", F.explode("keys").alias("key"))
     blocked = keyed.repartition("key").groupBy("key", "id").agg(F.count("*").alias("rows"))
     sizes = blocked.groupBy("key").agg(F.count("*").alias("many"), F.min("id").alias("head")).filter("many > 1")
     ranked = keep(blocked.join(sizes, "key").select("key", "id", "many", "head"), "blocked")
